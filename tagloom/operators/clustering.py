@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tagloom.operators.joins import match_values
+from tagloom.session import cut_lineage
 from tagloom.small import small_table
 
 SEED = 31
@@ -110,13 +111,17 @@ def cluster_tags(predicted: DataFrame, ranks: DataFrame, rules: DataFrame) -> Da
 
 def score_cluster_tag(
     scores: DataFrame, columns: Sequence[str], rules: DataFrame, k: int, max_iter: int = 10,
-    scale: bool = False, model: KMeansModel | None = None,
+    scale: bool = False,
 ) -> DataFrame:
-    """Scores -> clusters -> ranked clusters -> tags, trained on distinct vectors."""
-    vectors = cluster_vectors(scores, columns, scale)
-    model = model or fit_kmeans(vectors, k, max_iter, weight="weight")
-    tagged = vector_tags(vectors, columns, model, rules)
-    return scores.join(tagged, list(columns)).select("uid", "tag_id")
+    """Scores -> clusters -> ranked clusters -> tags, trained on distinct vectors.
+
+    Scores are written once, so that training, prediction and the final join do not each go back
+    to the business data.
+    """
+    kept = cut_lineage(scores.select("uid", *columns), "scores")
+    vectors = cluster_vectors(kept, columns, scale)
+    model = fit_kmeans(vectors, k, max_iter, weight="weight")
+    return kept.join(vector_tags(vectors, columns, model, rules), list(columns)).select("uid", "tag_id")
 
 
 def cluster_vectors(scores: DataFrame, columns: Sequence[str], scale: bool = False) -> DataFrame:
@@ -151,15 +156,16 @@ def cluster_bounds(scored: DataFrame, columns: Sequence[str], cluster: str = "pr
 def spending_power_tag(
     scores: DataFrame, rules: DataFrame, columns: Sequence[str], k: int = 7, max_iter: int = 20,
 ) -> DataFrame:
-    """Seven clusters in order of their score range; the n-th range takes the n-th rule's tag."""
-    vectors = cluster_vectors(scores, columns)
+    """Clusters in falling order of their score range; the n-th takes the n-th rule's tag."""
+    kept = cut_lineage(scores.select("uid", *columns), "scores")
+    vectors = cluster_vectors(kept, columns)
     model = fit_kmeans(vectors, k, max_iter, weight="weight")
     predicted = model.transform(vectors).select(*columns, "prediction")
-    bounds = cluster_bounds(predicted, columns)
-    # k rows on one side and the level-5 rules of one tag on the other.
-    by_score = bounds.withColumn(
-        "place", F.row_number().over(Window.orderBy(F.desc("max_score"), F.desc("min_score"), "prediction"))
-    )
-    by_tag = rules.withColumn("place", F.row_number().over(Window.orderBy("tag_id")))
-    tagged = predicted.join(by_score.join(by_tag, "place").select("prediction", "tag_id"), "prediction")
-    return scores.join(tagged, list(columns)).select("uid", "tag_id")
+    # k rows at most on either side
+    bounds = cluster_bounds(predicted, columns).collect()
+    order = sorted(bounds, key=lambda b: (-b["max_score"], -b["min_score"], b["prediction"]))
+    tags = [r["tag_id"] for r in rules.orderBy("tag_id").limit(k).collect()]
+    table = [(b["prediction"], tag) for b, tag in zip(order, tags)]
+    tag_of = small_table(scores.sparkSession, table, "prediction int, tag_id bigint")
+    tagged = predicted.join(tag_of, "prediction").select(*columns, "tag_id")
+    return kept.join(tagged, list(columns)).select("uid", "tag_id")

@@ -67,6 +67,19 @@ def merge_all(results: Sequence[DataFrame], profile: DataFrame, families: Sequen
     return joined.select("uid", F.array_sort(merged).alias("tag_ids"))
 
 
+def merge_by_family(results: DataFrame, profile: DataFrame, family: DataFrame) -> DataFrame:
+    """``merge_all`` for families too large for an expression: everything is a join.
+
+    ``results`` has ``uid, tag_id`` of any number of models, ``family`` has ``tag_id, family``.
+    """
+    new = results.select("uid", "tag_id").join(family, "tag_id")
+    seen = new.select("uid", "family").distinct()
+    old = profile.select("uid", F.explode_outer("tag_ids").alias("tag_id")).join(family, "tag_id", "left")
+    kept = old.join(seen, ["uid", "family"], "left_anti").select("uid", "tag_id")
+    together = kept.unionByName(new.select("uid", "tag_id"))
+    return together.groupBy("uid").agg(F.array_sort(F.collect_set("tag_id")).alias("tag_ids"))
+
+
 def save_merged(merged: DataFrame, profile: DataFrame) -> DataFrame:
     """The next state of the whole table: merged rows win, all other users stay."""
     new = merged.select("uid", F.col("tag_ids").alias("_new"))

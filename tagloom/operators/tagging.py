@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tagloom.functions.dates import date_digits, days_since
 from tagloom.functions.rules import range_rule
 from tagloom.operators.joins import match_ranges, match_values
+from tagloom.operators.learning import counted_rows, cross_validated
 from tagloom.operators.metrics import gender_by_share, usg_shares
+from tagloom.session import cut_lineage
 
 
 def level5_rules(tags: DataFrame, tag_id: int) -> DataFrame:
@@ -66,3 +68,34 @@ def gender_share_tag(items: DataFrame, rules: DataFrame, label: str = "label") -
     shares = usg_shares(items, label=label)
     named = shares.select("uid", gender_by_share(F.col("total"), F.col("male"), F.col("female")).alias("_class"))
     return match_tag(named, "_class", rules)
+
+
+def gender_model_tag(
+    items: DataFrame, rules: DataFrame, folds: int = 3, depths=(3, 5), impurities=("gini", "entropy"),
+    bins=(32,),
+) -> DataFrame:
+    """Shopping gender from item labels that a tuned tree predicts.
+
+    ``items`` has ``key, uid, label, colour_id, product_id``.  They are counted once per user and
+    combination and written; the tree is tuned on the few combinations, weighted, and every user's
+    shares are sums of those counts.
+    """
+    features = ["colour_id", "product_id"]
+    counted = cut_lineage(counted_rows(items, ["uid", *features, "label"], "key", folds), "items")
+    combos = cut_lineage(
+        counted.groupBy(*features, F.col("label").cast("double").alias("label"), "fold").agg(
+            F.sum("weight").alias("weight")
+        ),
+        "combinations",
+    )
+    model, _ = cross_validated(
+        combos, features, folds, "fold", "weight", depths=depths, impurities=impurities, bins=bins
+    )
+    guessed = model.transform(combos.select(*features).distinct()).select(*features, "prediction")
+    shares = counted.join(guessed, features).groupBy("uid").agg(
+        F.sum("weight").alias("total"),
+        F.sum(F.when(F.col("prediction") == 0, F.col("weight")).otherwise(0)).alias("male"),
+        F.sum(F.when(F.col("prediction") == 1, F.col("weight")).otherwise(0)).alias("female"),
+    )
+    named = shares.select("uid", gender_by_share(F.col("total"), F.col("male"), F.col("female")).alias("_class"))
+    return match_tag(named, "_class", rules)

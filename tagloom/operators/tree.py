@@ -78,21 +78,21 @@ def children(tags: DataFrame) -> DataFrame:
 def outline(tags: DataFrame) -> DataFrame:
     """The tree as rows in depth-first order: ``position`` sorts, children follow their parent.
 
-    ``n_children`` and ``n_leaves`` are counted by aggregation, so no node's children are
-    gathered into one row however many there are.
+    Every node reports itself to all its ancestors, and one aggregation with map-side combine
+    counts children and leaves; no node's children are gathered into one row.
     """
-    lines = lineages(tags)
-    n_children = tags.groupBy(F.col("pid").alias("id")).agg(F.count("*").alias("n_children"))
-    n_leaves = leaf_closure(tags).groupBy(F.col("tag_id").alias("id")).agg(
-        F.count("*").alias("n_leaves")
+    position = F.array_join(F.transform("line", lambda i: F.lpad(i.cast("string"), 12, "0")), "/")
+    lines = lineages(tags).select("line", F.element_at("names", -1).alias("name"), position.alias("position"))
+    depth, at = F.size("line"), F.col("at") + 1
+    own = at == depth
+    reports = lines.select("line", "name", "position", F.posexplode("line").alias("at", "id"))
+    return reports.groupBy("id").agg(
+        F.max(F.when(own, F.col("name"))).alias("name"),
+        F.max(F.when(own, depth)).alias("level"),
+        F.max(F.when(own, F.col("position"))).alias("position"),
+        F.count(F.when(at == depth - 1, 1)).alias("n_children"),
+        F.count(F.when((depth == DEPTH) & (at <= DEPTH), 1)).alias("n_leaves"),
     )
-    position = F.array_join(
-        F.transform("line", lambda i: F.lpad(i.cast("string"), 12, "0")), "/"
-    )
-    rows = lines.select("id", F.element_at("names", -1).alias("name"),
-                        F.size("line").alias("level"), position.alias("position"))
-    counted = rows.join(n_children, "id", "left").join(n_leaves, "id", "left")
-    return counted.na.fill(0, ["n_children", "n_leaves"])
 
 
 def nested(tags: DataFrame, max_children: int = 10_000) -> DataFrame:

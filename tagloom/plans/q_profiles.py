@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import audience, profiles, tagging, tree
 from tagloom.plans.book import query
 from tagloom.plans.datasets import (
-    SQL_COMBINED, SQL_CYCLE, SQL_PAY, SQL_PROFILE_ROWS, SQL_PROFILE_TABLE, SQL_TAGS, Data,
+    PART_BASE, SQL_COMBINED, SQL_CYCLE, SQL_PAY, SQL_PROFILE_ROWS, SQL_PROFILE_TABLE, SQL_TAGS, Data,
 )
 from tagloom.sources.keyed import read_version, write_version
 
@@ -185,7 +185,7 @@ def prf_entitled_tags(d: Data):
     region = F.col("n_regionkey")
     role = d.table("nation").select(
         region.alias("role"),
-        F.explode(F.array(F.lit(333) + region, F.lit(319) + region % 2)).cast("bigint").alias("tag_id"),
+        F.explode(F.array(F.lit(333) + region, F.lit(319) + region % 2).cast("array<bigint>")).alias("tag_id"),
     )
     return audience.entitled(d.profile, own, role, 7, [2, 3])
 
@@ -230,3 +230,22 @@ def prf_lookup_user(d: Data):
         .when(code == "3-MEDIUM", F.col("qq")).when(code == "4-NOT SPECIFIED", F.col("id_card")).otherwise(F.col("name"))
     )
     return audience.find_users(carried.select(value.alias("probe")), people)
+
+
+@query("prf_merge_families", f"""
+  WITH {SQL_PROFILE_ROWS}, {SQL_CYCLE},
+  bought AS (SELECT DISTINCT o_custkey AS uid, 1000000 + l_partkey AS tag_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_quantity >= 50),
+  merged AS (
+    SELECT p.uid, p.tag_id FROM profile_rows p
+    WHERE NOT (p.tag_id BETWEEN 348 AND 355 AND p.uid IN (SELECT uid FROM cycle))
+    UNION SELECT uid, tag_id FROM cycle UNION SELECT uid, tag_id FROM bought)
+  SELECT CAST(uid AS VARCHAR) AS user_id, {_LISTED} AS tag_ids FROM merged GROUP BY uid
+""")
+def prf_merge_families(d: Data):
+    """The join-based merge, with the product branch of the tree as large families."""
+    bought = d.table("lineitem").where("l_quantity >= 50").join(
+        d.orders.select("order_id", "uid"), F.col("l_orderkey") == F.col("order_id")
+    ).select("uid", (F.lit(PART_BASE) + F.col("l_partkey")).alias("tag_id")).distinct()
+    family = d.tags.where("level = 5").select(F.col("id").alias("tag_id"), F.col("pid").alias("family"))
+    results = bought.unionByName(_cycle(d))
+    return profiles.render_profile(profiles.merge_by_family(results, d.profile, family))

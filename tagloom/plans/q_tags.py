@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import functions as F
 
-from tagloom.operators import clustering, learning, metrics, tagging
+from tagloom.operators import clustering, metrics, tagging
 from tagloom.operators.profiles import render_profile
 from tagloom.plans import registry
 from tagloom.plans.book import query
@@ -13,6 +13,7 @@ from tagloom.plans.datasets import (
     LABEL_COLOURS, LABEL_PRODUCTS, RFE_COLUMNS, RFE_E, RFE_F, RFE_R, RFM_COLUMNS, RFM_F, RFM_M, RFM_R,
     SQL_CYCLE, SQL_LINES, SQL_PAY, SQL_PROFILE_ROWS, SQL_RFE, SQL_RFM, SQL_RFM_SCORES, SQL_USERS, Data,
 )
+from tagloom.session import cut_lineage
 from tagloom.sources.models import load_or_train
 
 
@@ -176,26 +177,14 @@ def tag_usg_rule(d: Data):
 
 @query("tag_usg_model")
 def tag_usg_model(d: Data):
-    """Items get the label a tuned tree predicts from their colour and product.
-
-    Items have few distinct (colour, product, label) combinations, so the tree is tuned on
-    counted rows; predictions are made once per combination and joined back.
-    """
-    columns = ["colour_id", "product_id"]
-    items = d.lines.select(
-        "order_id", "colour", "product",
-        metrics.weak_label("colour", "product", LABEL_COLOURS, LABEL_PRODUCTS).cast("double").alias("label"),
+    """Items get the label a tuned tree predicts from their colour and product."""
+    lines = _coded(d, d.lines.withColumn(
+        "label", metrics.weak_label("colour", "product", LABEL_COLOURS, LABEL_PRODUCTS)
+    ))
+    items = lines.join(d.orders.select("order_id", "uid"), "order_id").select(
+        F.xxhash64("order_id", "colour", "product").alias("key"), "uid", "label", "colour_id", "product_id"
     )
-    counted = items.withColumn("key", F.xxhash64("order_id", "colour", "product"))
-    counted = learning.counted_rows(counted, ["colour", "product", "label"], "key", folds=3)
-    coded = _coded(d, counted).persist()
-    model, _ = learning.cross_validated(
-        coded, columns, folds=3, fold="fold", weight="weight", depths=(3, 5), impurities=("gini", "entropy"), bins=(32,)
-    )
-    guesses = model.transform(coded.select("colour", "product", *columns).distinct())
-    guesses = guesses.select("colour", "product", F.col("prediction").cast("int").alias("label"))
-    owned = d.lines.join(guesses, ["colour", "product"]).join(d.orders.select("order_id", "uid"), "order_id")
-    return tagging.gender_share_tag(owned.select("uid", "label"), rules(d, 378))
+    return tagging.gender_model_tag(items, rules(d, 378))
 
 
 def _coded(d: Data, rows):
@@ -213,7 +202,7 @@ def tag_rfm_value(d: Data):
 @query("tag_rfm_value_scaled")
 def tag_rfm_value_scaled(d: Data):
     """Min-max scaled scores, best of several iteration limits, model kept and loaded again."""
-    scores = rfm_scores(d)
+    scores = cut_lineage(rfm_scores(d), "scores")
     vectors = clustering.cluster_vectors(scores, RFM_COLUMNS, scale=True)
     path = d.folder_for("rfm-model")
 
@@ -222,7 +211,8 @@ def tag_rfm_value_scaled(d: Data):
 
     load_or_train(d.spark, path, KMeansModel, train)
     model = load_or_train(d.spark, path, KMeansModel, train)
-    return scores.join(clustering.vector_tags(vectors, RFM_COLUMNS, model, rules(d, 361)), RFM_COLUMNS).select("uid", "tag_id")
+    tagged = clustering.vector_tags(vectors, RFM_COLUMNS, model, rules(d, 361))
+    return scores.join(tagged, RFM_COLUMNS).select("uid", "tag_id")
 
 
 @query("tag_rfm_spending_power")

@@ -49,13 +49,15 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/tagloom/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so a lost executor never restarts the plan before it."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        context.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, purpose: str = "step") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Later steps then start from the files: a lost executor does not restart the plan before them,
+    repeated passes do not repeat it, and Catalyst knows the size.
+    """
+    path = fresh_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
