@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.bounds import at_most
 from tagloom.functions import lists, text
 from tagloom.operators.profiles import exploded
 from tagloom.operators.tree import lineages, leaves_of
@@ -46,7 +47,8 @@ def combined_members(profile: DataFrame, tag_map: DataFrame) -> DataFrame:
     groups = combined_groups(tag_map).select(
         "merge_tag_id", F.col("basic_tag_id").alias("tag_id"), "or_group", "n_groups"
     )
-    met = exploded(profile).join(groups, "tag_id")
+    side = F.broadcast(groups) if at_most(groups) else groups
+    met = exploded(profile).join(side, "tag_id")
     per_user = met.groupBy("uid", "merge_tag_id", "n_groups").agg(
         F.countDistinct("or_group").alias("_met")
     )

@@ -29,13 +29,17 @@ def split_by_key(df: DataFrame, key: str, train_percent: int) -> tuple[DataFrame
 
 
 def minmax_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Scale plain columns to [0, 1] in one extra pass; a constant column becomes 0.5."""
-    out = df
+    """Scale plain columns to [0, 1]; all bounds come from one aggregation.
+
+    A constant column becomes 0.5.
+    """
+    ends = [F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
+    bounds = df.agg(F.struct(*ends)).scalar()
     for c in columns:
-        low, high = df.agg(F.min(c)).scalar(), df.agg(F.max(c)).scalar()
+        low, high = bounds[c]["low"], bounds[c]["high"]
         shown = F.when(high == low, F.lit(0.5)).otherwise(F.try_divide(F.col(c) - low, high - low))
-        out = out.withColumn(f"{c}_scaled", shown)
-    return out
+        df = df.withColumn(f"{c}_scaled", shown)
+    return df
 
 
 def norm(values: Sequence[Column], p: float) -> Column:
@@ -169,13 +173,17 @@ def confusion(predictions: DataFrame, label: str = "label", prediction: str = "p
 def classification_metrics(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """accuracy, error rate, weighted precision and recall, f1, from the confusion counts."""
     cells = confusion(predictions, label, prediction)
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    by_label = cells.groupBy("label").agg(F.sum("n").alias("support"), F.sum(hit).alias("tp"))
-    by_guess = cells.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("guessed"))
-    per_class = by_label.join(by_guess, "label", "left").select(
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+    as_label = F.struct(F.col("label").alias("class"), n.alias("support"), hit.alias("tp"), none.alias("guessed"))
+    as_guess = F.struct(F.col("prediction").alias("class"), none.alias("support"), none.alias("tp"), n.alias("guessed"))
+    per_class = cells.select(F.inline(F.array(as_label, as_guess))).groupBy("class").agg(
+        F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("guessed").alias("guessed")
+    )
+    per_class = per_class.select(
         "support", "tp",
         F.coalesce(F.try_divide("tp", "guessed"), F.lit(0.0)).alias("precision"),
-        (F.col("tp") / F.col("support")).alias("recall"),
+        F.coalesce(F.try_divide("tp", "support"), F.lit(0.0)).alias("recall"),
     )
     f1 = F.coalesce(
         F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")),

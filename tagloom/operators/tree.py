@@ -54,7 +54,9 @@ def leaf_closure(tags: DataFrame) -> DataFrame:
 
 def leaves_of(tags: DataFrame, tag_ids: list[int]) -> DataFrame:
     """Level-5 tags below any of the given tags, each once."""
-    return leaf_closure(tags).where(F.col("tag_id").isin(tag_ids)).select("leaf_id").distinct()
+    asked = F.array(*[F.lit(int(i)) for i in tag_ids]).cast("array<bigint>")
+    full = lineages(tags).where(F.size("line") == DEPTH)
+    return full.where(F.arrays_overlap("line", asked)).select(F.col("id").alias("leaf_id"))
 
 
 def paths(tags: DataFrame, name_part: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.bins import cut_bins
-from tagloom.session import fresh_folder
+from tagloom.session import cut_lineage, fresh_folder
 from tagloom.small import small_table
 
 # The tag catalogue: (id, name, rule, level, pid).
@@ -220,9 +220,10 @@ class Data:
     def model_tags(self) -> DataFrame:
         return self.small(CATALOGUE, CATALOGUE_SCHEMA)
 
-    @property
+    @cached_property
     def tags(self) -> DataFrame:
-        """The catalogue plus a product branch: a level-4 tag per brand, a level-5 tag per part."""
+        """The stored definitions: the catalogue plus a product branch with a level-4 tag per brand
+        and a level-5 tag per part."""
         part = self.table("part")
         brand_id = F.lit(BRAND_BASE) + F.regexp_extract("p_brand", "([0-9]+)", 1).cast("bigint")
         brands = part.select(
@@ -235,7 +236,7 @@ class Data:
             F.col("p_partkey").cast("string").alias("rule"), F.lit(5).alias("level"),
             brand_id.alias("pid"),
         )
-        return self.model_tags.unionByName(brands).unionByName(leaves)
+        return cut_lineage(self.model_tags.unionByName(brands).unionByName(leaves), "definitions")
 
     @property
     def profile_table(self) -> DataFrame:
