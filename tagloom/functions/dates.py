@@ -109,7 +109,7 @@ def zodiac(value) -> Column:
 def is_date(text) -> Column:
     """Whether text is ``yyyy-M-d`` or ``yyyyMMdd`` and names a day that exists."""
     text = _col(text)
-    shape = r"^([0-9]{4})-?(0?[1-9]|1[0-2])-?(0?[1-9]|[12][0-9]|3[01])$"
+    shape = r"^([0-9]{4})-?(0?[1-9]|1[0-2])-?(0?[1-9]|[12][0-9]|3[01])\z"
     part = [F.regexp_extract(text, shape, i).try_cast("int") for i in (1, 2, 3)]
     month_start = F.make_date(F.greatest(part[0], F.lit(1)), part[1], F.lit(1))
     fits = F.when(text.rlike(shape), part[2] <= F.dayofmonth(F.last_day(month_start)))

@@ -32,6 +32,6 @@ def range_rule(rule) -> Column:
     rule = F.trim(F.col(rule) if isinstance(rule, str) else rule)
     parts = F.split(rule, "-")
     return F.when(
-        rule.rlike("^[0-9]+-[0-9]+$"),
+        rule.rlike(r"^[0-9]+-[0-9]+\z"),
         F.struct(parts[0].cast("bigint").alias("lo"), parts[1].cast("bigint").alias("hi")),
     )

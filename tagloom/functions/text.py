@@ -5,22 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The shapes an identifier may have.  Every pattern is matched against the whole
-# text; none has nested repetition, so no input can make matching explode.
-MOBILE = r"^(17[0-9]|14[0-9]|13[0-9]|15[0-35-9]|18[0,5-9])[0-9]{8}$"
+# The shapes an identifier may have, each matched against the whole text.  None
+# repeats a group: the regex engine recurses over repeated groups, and a long enough text would
+# overflow its stack.  Look-aheads state what such groups would have ruled out.
+MOBILE = r"^(17[0-9]|14[0-9]|13[0-9]|15[0-35-9]|18[0,5-9])[0-9]{8}\z"
+# Local part: letters and digits with single separators between them.  Domain: labels with at
+# most one inner hyphen, then two or more letters.
 EMAIL = (
-    r"^[a-zA-Z0-9]([-|.]?[a-zA-Z0-9])+@([a-zA-Z0-9]+(-[a-zA-Z0-9]+)?\.)+[a-zA-Z]{2,}$"
+    r"^(?![^@]*[-|.]{2})[a-zA-Z0-9][a-zA-Z0-9|.-]*[a-zA-Z0-9]@"
+    r"(?![a-zA-Z0-9.-]*(\.-|-\.|\.\.|-[a-zA-Z0-9]*-))[a-zA-Z0-9][a-zA-Z0-9.-]*\.[a-zA-Z]{2,}\z"
+)
+QQ = r"^[0-9]{5,12}\z"
+ID_CARD = r"^([0-9]{15}|[0-9]{17}[0-9Xx])\z"
+USER_NAME = r"^[a-zA-Z][a-zA-Z0-9_]{5,20}\z"
+PASSWORD = r"^[a-zA-Z0-9]{6,20}\z"
+# A host of two or more labels, then an optional path.
+URL = (
+    r"^https?://(?![a-zA-Z0-9_.-]*\.\.)[a-zA-Z0-9_-]+\.[a-zA-Z0-9_.-]*[a-zA-Z0-9_-]"
+    r"(/[a-zA-Z0-9_ ./?%&=-]*)?\z"
 )
-QQ = r"^[0-9]{5,12}$"
-ID_CARD = r"^([0-9]{15}|[0-9]{17}[0-9Xx])$"
-USER_NAME = r"^[a-zA-Z][a-zA-Z0-9_]{5,20}$"
-PASSWORD = r"^[a-zA-Z0-9]{6,20}$"
-URL = r"^https?://([a-zA-Z0-9_-]+\.)+[a-zA-Z0-9_-]+(/[a-zA-Z0-9_ ./?%&=-]*)?$"
 IPV4 = (
     r"^(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-    r"(\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])){3}$"
+    r"(\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])){3}\z"
 )
-CHINESE = "^[一-龥]+$"
+CHINESE = r"^[一-龥]+\z"
 
 _IN_ORDER = (("phone", MOBILE), ("email", EMAIL), ("qq", QQ), ("id_card", ID_CARD))
 
@@ -70,7 +78,7 @@ def ip_to_int(text) -> Column:
     parts = F.split(_col(text), r"\.")
     total = F.lit(0).cast("bigint")
     for i in range(4):
-        total = total * 256 + parts[i].cast("bigint")
+        total = total * 256 + F.get(parts, F.lit(i)).cast("bigint")
     return total
 
 

@@ -34,7 +34,7 @@ def normalize_orders(
     orders: DataFrame, user_bound: int, pay_names: Mapping[str, str] = PAY_NAMES,
     shift_days: int = FINISH_SHIFT_DAYS,
 ) -> DataFrame:
-    """Users at or above the bound become one below it, unknown payment codes a known one.
+    """Users at or above the bound become one of 1 … bound, unknown payment codes a known one.
 
     ``orders`` has ``order_id, uid, pay_code, finish_date``.
     """

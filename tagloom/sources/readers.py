@@ -91,7 +91,7 @@ def typed_lines(
     """Text lines split into exactly ``len(columns)`` fields; other lines are left out."""
     parts = F.split("value", separator, -1)
     lines = spark.read.text(path).select(parts.alias("f")).where(F.size("f") == len(columns))
-    return lines.select(*[F.col("f")[i].alias(c) for i, c in enumerate(columns)])
+    return lines.select(*[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 def sparse_vectors(spark: SparkSession, path: str, n_features: int) -> DataFrame:
