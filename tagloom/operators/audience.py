@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.bounds import at_most
+from tagloom.bounds import small_copy
 from tagloom.functions import lists, text
 from tagloom.operators.profiles import exploded
-from tagloom.operators.tree import lineages, leaves_of
+from tagloom.operators.tree import PATH_SEPARATOR, leaves_of, lineages
+from tagloom.session import cut_lineage
 
 
 def tag_index(profile: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -47,8 +48,7 @@ def combined_members(profile: DataFrame, tag_map: DataFrame) -> DataFrame:
     groups = combined_groups(tag_map).select(
         "merge_tag_id", F.col("basic_tag_id").alias("tag_id"), "or_group", "n_groups"
     )
-    side = F.broadcast(groups) if at_most(groups) else groups
-    met = exploded(profile).join(side, "tag_id")
+    met = exploded(profile).join(small_copy(groups) or groups, "tag_id")
     per_user = met.groupBy("uid", "merge_tag_id", "n_groups").agg(
         F.countDistinct("or_group").alias("_met")
     )
@@ -120,18 +120,17 @@ def examples(profile: DataFrame, n: int = 5) -> DataFrame:
 def portraits(profile: DataFrame, tags: DataFrame) -> DataFrame:
     """Each user's tags spread over the tree: distinct ``(uid, level, id, pid, path)`` rows.
 
-    Prefix paths are made once per tag on the small side, and then joined.
+    Only ``(uid, id)`` pairs are made distinct; what an id stands for is joined afterwards.
     """
-    lines = lineages(tags)
-    steps = lines.select(
-        F.col("id").alias("tag_id"),
-        F.posexplode(F.transform(F.sequence(F.lit(1), F.size("line")), lambda n: F.struct(
-            F.element_at("line", n).alias("id"),
-            F.when(n > 1, F.element_at("line", F.greatest(n - 1, F.lit(1)))).otherwise(F.lit(-1)).alias("pid"),
-            F.array_join(F.slice("names", F.lit(1), n), " --- ").alias("path"),
-        ))).alias("pos", "step"),
-    ).select("tag_id", (F.col("pos") + 1).alias("level"), "step.id", "step.pid", "step.path")
-    return exploded(profile).join(steps, "tag_id").select("uid", "level", "id", "pid", "path").distinct()
+    lines = cut_lineage(lineages(tags).select("id", "line", "names"), "lineages")
+    upward = lines.select(F.col("id").alias("tag_id"), F.explode("line").alias("id"))
+    parent = F.when(F.size("line") > 1, F.element_at("line", -2)).otherwise(F.lit(-1))
+    named = lines.select(
+        "id", F.size("line").alias("level"), parent.alias("pid"),
+        F.array_join("names", PATH_SEPARATOR).alias("path"),
+    )
+    pairs = exploded(profile).join(upward, "tag_id").select("uid", "id").distinct()
+    return pairs.join(named, "id").select("uid", "level", "id", "pid", "path")
 
 
 def entitled(
@@ -153,12 +152,13 @@ def entitled(
 def catalogue(tags: DataFrame, models: DataFrame, counts: DataFrame) -> DataFrame:
     """Level-4 tags with model and rule, one row per attribute, with the users each has."""
     tag = tags.where("level = 4").select(F.col("id").alias("tag_id"), F.col("name").alias("tag_name"),
-                                         F.col("rule").alias("tag_rule"))
-    leaf = tags.where("level = 5").select(F.col("pid").alias("_pid"), F.col("id").alias("attr_id"),
+                                         F.col("rule").alias("tag_rule")).join(models, "tag_id")
+    leaf = tags.where("level = 5").select(F.col("pid").alias("tag_id"), F.col("id").alias("attr_id"),
                                           F.col("name").alias("attr_name"))
-    listed = tag.join(models, "tag_id").join(leaf, F.col("tag_id") == F.col("_pid"), "left").drop("_pid")
     counted = counts.select(F.col("tag_id").alias("attr_id"), "user_count")
-    return listed.join(counted, "attr_id", "left").na.fill(0, ["user_count"])
+    attributes = leaf.join(tag, "tag_id").join(counted, "attr_id", "left").na.fill(0, ["user_count"])
+    bare = tag.join(leaf.select("tag_id").distinct(), "tag_id", "left_anti").withColumn("user_count", F.lit(0).cast("bigint"))
+    return attributes.unionByName(bare, allowMissingColumns=True)
 
 
 def find_users(probes: DataFrame, people: DataFrame, probe: str = "probe") -> DataFrame:

@@ -1,14 +1,16 @@
 """KMeans tag models.
 
-Score vectors take few distinct values (5 x 5 x 5 at most), so users are grouped by vector, the
-vectors are clustered with their user counts as weights, and predictions are joined back.
-Training then costs the same for a thousand users and for a billion.
+Score vectors take few distinct values (5 x 5 x 5 at most), so users are grouped by vector and the
+vectors are clustered with their user counts as weights.  Training then costs the same for a
+thousand users and for a billion.  Prediction runs over the users themselves, row by row on the
+JVM, without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tagloom.bounds import small_copy
 from tagloom.operators.joins import match_values
 from tagloom.session import cut_lineage
 from tagloom.small import small_table
@@ -32,11 +35,6 @@ def assembled(df: DataFrame, columns: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="error").transform(df)
 
 
-def scaled(df: DataFrame, source: str = "raw_features", out: str = "features") -> DataFrame:
-    """Every dimension to [0, 1]; a constant dimension becomes 0.5."""
-    return MinMaxScaler(inputCol=source, outputCol=out).fit(df).transform(df)
-
-
 def fit_kmeans(
     df: DataFrame, k: int, max_iter: int = 10, distance: str = "euclidean", weight: str | None = None,
 ) -> KMeansModel:
@@ -105,42 +103,44 @@ def ranked_clusters(model: KMeansModel, df: DataFrame, descending: bool = True)
 
 def cluster_tags(predicted: DataFrame, ranks: DataFrame, rules: DataFrame) -> DataFrame:
     """Prediction -> rank of its cluster -> the tag whose rule is that rank."""
-    ranked = predicted.join(ranks.select("prediction", "rank"), "prediction")
-    return match_values(ranked, "rank", rules).select("uid", "tag_id")
+    tag_of = match_values(ranks.select("prediction", "rank"), "rank", rules).select("prediction", "tag_id")
+    return predicted.join(small_copy(tag_of) or tag_of, "prediction").select("uid", "tag_id")
 
 
-def score_cluster_tag(
-    scores: DataFrame, columns: Sequence[str], rules: DataFrame, k: int, max_iter: int = 10,
-    scale: bool = False,
-) -> DataFrame:
-    """Scores -> clusters -> ranked clusters -> tags, trained on distinct vectors.
-
-    Scores are written once, so that training, prediction and the final join do not each go back
-    to the business data.
-    """
-    kept = cut_lineage(scores.select("uid", *columns), "scores")
-    vectors = cluster_vectors(kept, columns, scale)
-    model = fit_kmeans(vectors, k, max_iter, weight="weight")
-    return kept.join(vector_tags(vectors, columns, model, rules), list(columns)).select("uid", "tag_id")
+def feature_steps(vectors: DataFrame, columns: Sequence[str], scale: bool = False) -> PipelineModel:
+    """Assembling, and min-max scaling if asked for, fitted on the distinct vectors."""
+    if not scale:
+        stages = [VectorAssembler(inputCols=list(columns), outputCol="features")]
+    else:
+        stages = [
+            VectorAssembler(inputCols=list(columns), outputCol="raw_features"),
+            MinMaxScaler(inputCol="raw_features", outputCol="features"),
+        ]
+    return Pipeline(stages=stages).fit(vectors)
 
 
 def cluster_vectors(scores: DataFrame, columns: Sequence[str], scale: bool = False) -> DataFrame:
+    """Distinct score vectors as ``features`` with their ``weight``, ready for training."""
     grouped = score_vectors(scores, columns)
-    if not scale:
-        return assembled(grouped, columns)
-    return scaled(assembled(grouped, columns, "raw_features"))
+    return feature_steps(grouped, columns, scale).transform(grouped)
 
 
-def vector_tags(vectors: DataFrame, columns: Sequence[str], model: KMeansModel, rules: DataFrame) -> DataFrame:
-    """One row per distinct vector with its tag."""
-    predicted = model.transform(vectors).select(*columns, "prediction")
-    ranked = predicted.join(ranked_clusters(model, vectors).select("prediction", "rank"), "prediction")
-    return match_values(ranked, "rank", rules).select(*columns, "tag_id")
-
+def score_cluster_tag(
+    scores: DataFrame, columns: Sequence[str], rules: DataFrame, k: int, max_iter: int = 10,
+    scale: bool = False, make_model: Callable[[DataFrame], KMeansModel] | None = None,
+) -> DataFrame:
+    """Scores -> clusters -> ranked clusters -> tags.
 
-def value_cluster_tag(scores: DataFrame, column: str, rules: DataFrame, k: int, max_iter: int = 10) -> DataFrame:
-    """One continuous score per user: trained on the users themselves, grouped by equal score."""
-    return score_cluster_tag(scores, [column], rules, k, max_iter)
+    Scores are written once, so that training and prediction do not both go back to the business
+    data.  ``make_model`` replaces the plain fit, for instance by a stored model.
+    """
+    kept = cut_lineage(scores.select("uid", *columns), "scores")
+    grouped = score_vectors(kept, columns)
+    steps = feature_steps(grouped, columns, scale)
+    vectors = steps.transform(grouped)
+    model = make_model(vectors) if make_model else fit_kmeans(vectors, k, max_iter, weight="weight")
+    predicted = model.transform(steps.transform(kept)).select("uid", "prediction")
+    return cluster_tags(predicted, ranked_clusters(model, kept), rules)
 
 
 def cluster_bounds(scored: DataFrame, columns: Sequence[str], cluster: str = "prediction") -> DataFrame:
@@ -160,12 +160,11 @@ def spending_power_tag(
     kept = cut_lineage(scores.select("uid", *columns), "scores")
     vectors = cluster_vectors(kept, columns)
     model = fit_kmeans(vectors, k, max_iter, weight="weight")
-    predicted = model.transform(vectors).select(*columns, "prediction")
     # k rows at most on either side
-    bounds = cluster_bounds(predicted, columns).collect()
+    bounds = cluster_bounds(model.transform(vectors), columns).collect()
     order = sorted(bounds, key=lambda b: (-b["max_score"], -b["min_score"], b["prediction"]))
     tags = [r["tag_id"] for r in rules.orderBy("tag_id").limit(k).collect()]
     table = [(b["prediction"], tag) for b, tag in zip(order, tags)]
     tag_of = small_table(scores.sparkSession, table, "prediction int, tag_id bigint")
-    tagged = predicted.join(tag_of, "prediction").select(*columns, "tag_id")
-    return kept.join(tagged, list(columns)).select("uid", "tag_id")
+    predicted = model.transform(assembled(kept, columns)).select("uid", "prediction")
+    return predicted.join(tag_of, "prediction").select("uid", "tag_id")

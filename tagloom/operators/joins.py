@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.bounds import at_most
+from tagloom.bounds import small_copy
 
 
 def match_values(
@@ -15,12 +15,12 @@ def match_values(
     """Add ``tag`` to the rows whose ``value`` equals a rule.
 
     ``unmatched`` rows are dropped, kept with a NULL tag, or make the job fail.  A rule table that
-    is counted to be small is broadcast; any other takes Spark's own choice of join.
+    is measured to be small is broadcast; any other takes Spark's own choice of join.
     """
     wanted = rules.select(F.col(rule).cast("string").alias("_rule"), F.col(tag).alias("_tag"))
     how = "inner" if unmatched == "drop" else "left"
-    side = F.broadcast(wanted) if at_most(wanted) else wanted
-    joined = df.join(side, df[value].cast("string") == wanted["_rule"], how)
+    wanted = small_copy(wanted) or wanted
+    joined = df.join(wanted, df[value].cast("string") == wanted["_rule"], how)
     found = F.col("_tag")
     if unmatched == "fail":
         text = F.concat(F.lit("no rule for value "), F.coalesce(F.col(value).cast("string"), F.lit("NULL")))
@@ -39,9 +39,10 @@ def match_ranges(
         F.col(lo).cast("bigint").alias("_lo"), F.col(hi).cast("bigint").alias("_hi"),
         F.col(tag).alias("_tag"),
     )
-    if at_most(wanted):
-        inside = df[value].between(wanted["_lo"], wanted["_hi"])
-        joined = df.join(F.broadcast(wanted), inside)
+    small = small_copy(wanted)
+    if small is not None:
+        inside = df[value].between(small["_lo"], small["_hi"])
+        joined = df.join(F.broadcast(small), inside)
         return joined.withColumn(tag, F.col("_tag")).drop("_lo", "_hi", "_tag")
     joined = interval_lookup(df, value, wanted, "_lo", "_hi", how="inner")
     return joined.withColumn(tag, F.col("_tag")).drop("_lo", "_hi", "_tag")

@@ -91,8 +91,7 @@ def gender_model_tag(
     model, _ = cross_validated(
         combos, features, folds, "fold", "weight", depths=depths, impurities=impurities, bins=bins
     )
-    guessed = model.transform(combos.select(*features).distinct()).select(*features, "prediction")
-    shares = counted.join(guessed, features).groupBy("uid").agg(
+    shares = model.transform(counted).groupBy("uid").agg(
         F.sum("weight").alias("total"),
         F.sum(F.when(F.col("prediction") == 0, F.col("weight")).otherwise(0)).alias("male"),
         F.sum(F.when(F.col("prediction") == 1, F.col("weight")).otherwise(0)).alias("female"),

@@ -70,11 +70,17 @@ def paths(tags: DataFrame, name_part: str | None = None) -> DataFrame:
 
 
 def children(tags: DataFrame) -> DataFrame:
-    """Every tag left-joined with its children."""
+    """Every tag with each of its children; a tag without children once, with NULLs.
+
+    Written as an inner join plus the childless tags: the many children of one parent can then be
+    split over tasks, which an outer join does not allow.
+    """
     parent = tags.select(F.col("id").alias("tag_id"), F.col("name").alias("tag_name"), "level")
-    child = tags.select(F.col("pid").alias("_pid"), F.col("id").alias("child_id"),
+    child = tags.select(F.col("pid").alias("tag_id"), F.col("id").alias("child_id"),
                         F.col("name").alias("child_name"))
-    return parent.join(child, parent["tag_id"] == child["_pid"], "left").drop("_pid")
+    found = child.join(parent, "tag_id")
+    childless = parent.join(child.select("tag_id").distinct(), "tag_id", "left_anti")
+    return found.unionByName(childless, allowMissingColumns=True).select(*parent.columns, "child_id", "child_name")
 
 
 def outline(tags: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagloom.functions.bins import cut_bins
 from tagloom.session import cut_lineage, fresh_folder
@@ -108,6 +109,9 @@ RFM_COLUMNS = ["r_score", "f_score", "m_score"]
 RFE_COLUMNS = ["r_score", "f_score", "e_score"]
 
 
+_schemas: dict[str, StructType] = {}
+
+
 class Data:
     """The given tables and the business views on them."""
 
@@ -116,7 +120,11 @@ class Data:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is looked up once, as a catalog would."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def view(self, name: str) -> str:
         """The table as a session view, for sources that are found by name."""
@@ -179,10 +187,14 @@ class Data:
 
     @property
     def orders_with_coupons(self) -> DataFrame:
-        """Orders with the discount of their lines; NULL for an order without lines."""
-        off = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")
+        """Orders with the discount of their lines; NULL for an order without lines.
+
+        Lines are summed in whole hundredths of a cent, which is exact and stays in long
+        arithmetic.
+        """
+        off = F.round(F.col("l_extendedprice") * 100).cast("bigint") * F.round(F.col("l_discount") * 100).cast("bigint")
         coupons = self.table("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
-            F.sum(off).alias("coupon")
+            (F.sum(off).cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(19,4)").alias("coupon")
         )
         return self.orders.join(coupons, "order_id", "left")
 

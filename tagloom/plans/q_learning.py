@@ -6,10 +6,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tagloom.operators import clustering, learning
+from tagloom.operators.metrics import rfm_metrics, weak_label
 from tagloom.plans.book import query
 from tagloom.plans.datasets import LABEL_COLOURS, LABEL_PRODUCTS, RFM_COLUMNS, SQL_RFM, SQL_RFM_SCORES, Data
-from tagloom.plans.q_tags import _coded, rfm_scores
-from tagloom.operators.metrics import rfm_metrics, weak_label
+from tagloom.plans.q_tags import coded, rfm_scores
+from tagloom.session import cut_lineage
 
 TREE_COLUMNS = ["colour_id", "product_id"]
 
@@ -27,7 +28,8 @@ def counted_items(d: Data, folds: int = 0):
         F.xxhash64("order_id", "colour", "product").alias("key"), "colour", "product",
         weak_label("colour", "product", LABEL_COLOURS, LABEL_PRODUCTS).cast("double").alias("label"),
     )
-    return _coded(d, learning.counted_rows(items, ["colour", "product", "label"], "key", folds))
+    counted = learning.counted_rows(items, ["colour", "product", "label"], "key", folds)
+    return cut_lineage(coded(d, counted), "items")
 
 
 @query("ml_assemble", f"WITH {SQL_RFM_SCORES} SELECT uid, r_score || ',' || f_score || ',' || m_score AS features FROM rfm_scores")
@@ -109,7 +111,7 @@ def ml_decision_tree(d: Data):
 @query("ml_fitted_stages")
 def ml_fitted_stages(d: Data):
     """Assemble, index and classify as one chain; weighted accuracy on the items left out."""
-    items = counted_items(d, folds=5).persist()
+    items = counted_items(d, folds=5)
     chain, _ = learning.tree_stages(TREE_COLUMNS, weight="weight", maxDepth=5, maxBins=32)
     model = chain.fit(items.where("fold < 4"))
     tested = model.transform(items.where("fold = 4"))
@@ -118,7 +120,7 @@ def ml_fitted_stages(d: Data):
 
 @query("ml_cross_validate")
 def ml_cross_validate(d: Data):
-    items = counted_items(d, folds=3).persist()
+    items = counted_items(d, folds=3)
     _, scores = learning.cross_validated(
         items, TREE_COLUMNS, folds=3, fold="fold", weight="weight", depths=(2, 5), impurities=("gini", "entropy"), bins=(32,)
     )
@@ -137,7 +139,7 @@ def ml_train_validation_split(d: Data):
 @query("ml_param_grid")
 def ml_param_grid(d: Data):
     """Every grid point trained on the counted items, with its weighted training accuracy."""
-    items = counted_items(d).persist()
+    items = counted_items(d)
     chain, tree = learning.tree_stages(TREE_COLUMNS, weight="weight")
     grid = learning.tree_grid(tree)
     scorer = learning.evaluator(weight="weight")

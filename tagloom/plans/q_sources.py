@@ -11,12 +11,10 @@ from tagloom.functions.text import mask_name
 from tagloom.operators import clustering, metrics
 from tagloom.plans.book import query
 from tagloom.plans.datasets import RFM_COLUMNS, RFM_F, RFM_M, RFM_R, SQL_TAGS, Data
+from tagloom.session import cut_lineage
 from tagloom.sources import keyed, readers
 from tagloom.sources.models import load_or_train
 
-TEXT = "VARCHAR"
-
-
 @query("src_rule_dispatch", """
   SELECT 'hdfs' AS source, CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer
   UNION ALL SELECT 'json', CAST(s_suppkey AS VARCHAR), s_name FROM supplier
@@ -293,6 +291,7 @@ def sink_audience_export(d: Data):
 @query("sink_model_store")
 def sink_model_store(d: Data):
     scores = metrics.rfm_scores(metrics.rfm_metrics(d.orders, d.orders_as_of, scale=2), RFM_R, RFM_F, RFM_M)
+    scores = cut_lineage(scores, "scores")
     vectors = clustering.cluster_vectors(scores, RFM_COLUMNS)
     path = d.folder_for("model")
 
@@ -304,5 +303,4 @@ def sink_model_store(d: Data):
 
     load_or_train(d.spark, path, KMeansModel, train)
     stored = load_or_train(d.spark, path, KMeansModel, never)
-    predicted = stored.transform(vectors).select(*RFM_COLUMNS, "prediction")
-    return scores.join(predicted, RFM_COLUMNS).select("uid", "prediction")
+    return stored.transform(clustering.assembled(scores, RFM_COLUMNS)).select("uid", "prediction")

@@ -6,6 +6,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import functions as F
 
 from tagloom.operators import clustering, metrics, tagging
+from tagloom.operators.joins import lookup_default
 from tagloom.operators.profiles import render_profile
 from tagloom.plans import registry
 from tagloom.plans.book import query
@@ -13,7 +14,6 @@ from tagloom.plans.datasets import (
     LABEL_COLOURS, LABEL_PRODUCTS, RFE_COLUMNS, RFE_E, RFE_F, RFE_R, RFM_COLUMNS, RFM_F, RFM_M, RFM_R,
     SQL_CYCLE, SQL_LINES, SQL_PAY, SQL_PROFILE_ROWS, SQL_RFE, SQL_RFM, SQL_RFM_SCORES, SQL_USERS, Data,
 )
-from tagloom.session import cut_lineage
 from tagloom.sources.models import load_or_train
 
 
@@ -178,7 +178,7 @@ def tag_usg_rule(d: Data):
 @query("tag_usg_model")
 def tag_usg_model(d: Data):
     """Items get the label a tuned tree predicts from their colour and product."""
-    lines = _coded(d, d.lines.withColumn(
+    lines = coded(d, d.lines.withColumn(
         "label", metrics.weak_label("colour", "product", LABEL_COLOURS, LABEL_PRODUCTS)
     ))
     items = lines.join(d.orders.select("order_id", "uid"), "order_id").select(
@@ -187,11 +187,10 @@ def tag_usg_model(d: Data):
     return tagging.gender_model_tag(items, rules(d, 378))
 
 
-def _coded(d: Data, rows):
-    from tagloom.operators.joins import lookup_default
-
-    coded = lookup_default(rows, "colour", d.colours, "name", "id", "colour_id")
-    return lookup_default(coded, "product", d.products, "name", "id", "product_id")
+def coded(d: Data, rows):
+    """Colour and product names as ids."""
+    rows = lookup_default(rows, "colour", d.colours, "name", "id", "colour_id")
+    return lookup_default(rows, "product", d.products, "name", "id", "product_id")
 
 
 @query("tag_rfm_value")
@@ -202,17 +201,18 @@ def tag_rfm_value(d: Data):
 @query("tag_rfm_value_scaled")
 def tag_rfm_value_scaled(d: Data):
     """Min-max scaled scores, best of several iteration limits, model kept and loaded again."""
-    scores = cut_lineage(rfm_scores(d), "scores")
-    vectors = clustering.cluster_vectors(scores, RFM_COLUMNS, scale=True)
     path = d.folder_for("rfm-model")
 
-    def train():
-        return clustering.best_by_iterations(vectors, 5, weight="weight")[0]
+    def stored(vectors):
+        def train():
+            return clustering.best_by_iterations(vectors, 5, weight="weight")[0]
+
+        load_or_train(d.spark, path, KMeansModel, train)
+        return load_or_train(d.spark, path, KMeansModel, train)
 
-    load_or_train(d.spark, path, KMeansModel, train)
-    model = load_or_train(d.spark, path, KMeansModel, train)
-    tagged = clustering.vector_tags(vectors, RFM_COLUMNS, model, rules(d, 361))
-    return scores.join(tagged, RFM_COLUMNS).select("uid", "tag_id")
+    return clustering.score_cluster_tag(
+        rfm_scores(d), RFM_COLUMNS, rules(d, 361), k=5, scale=True, make_model=stored
+    )
 
 
 @query("tag_rfm_spending_power")
@@ -229,7 +229,7 @@ def tag_rfe_activity(d: Data):
 @query("tag_psm_sensitivity")
 def tag_psm_sensitivity(d: Data):
     scores = metrics.psm_scores(d.orders_with_coupons).select("uid", "psm_score")
-    return clustering.value_cluster_tag(scores, "psm_score", rules(d, 372), k=5)
+    return clustering.score_cluster_tag(scores, ["psm_score"], rules(d, 372), k=5)
 
 
 # A ranking of five clusters.

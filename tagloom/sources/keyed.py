@@ -87,8 +87,11 @@ def sorted_by(df: DataFrame, keys: Sequence[str], ascending: bool = True) -> Dat
 
 
 def write_cells(cells: DataFrame, path: str) -> None:
-    """Cells as files in global (row key, qualifier) order."""
-    sorted_by(cells, ["row_key", "qualifier"]).write.mode("overwrite").parquet(path)
+    """Cells as files in global (row key, qualifier) order.
+
+    The value is part of the ranges, so that the many versions of one cell can be split.
+    """
+    sorted_by(cells, ["row_key", "qualifier", "value"]).write.mode("overwrite").parquet(path)
 
 
 def export_delimited(df: DataFrame, names: dict[str, str], path: str, separator: str = ",") -> None:

@@ -59,15 +59,16 @@ def test_ranges_above_the_bound_do_not_broadcast_blindly(table, monkeypatch):
     rules = table([(1000 + n, n * 10, n * 10 + 9) for n in range(50)], "tag_id bigint, lo bigint, hi bigint")
     small = joins.match_ranges(points, "days", rules)
     assert "BroadcastNestedLoopJoin" in plan_text(small)
-    monkeypatch.setattr(joins, "at_most", lambda df, n=0: False)
+    monkeypatch.setattr(joins, "small_copy", lambda df: None)
     large = joins.match_ranges(points, "days", rules)
     assert "NestedLoop" not in plan_text(large)
     assert rows(small) == rows(large)
 
 
-def test_at_most(spark):
-    assert bounds.at_most(spark.range(10), 10)
-    assert not bounds.at_most(spark.range(11), 10)
+def test_small_copy(spark):
+    assert rows(bounds.small_copy(spark.range(10), 10)) == [(i,) for i in range(10)]
+    assert "LocalTableScan" in plan_text(bounds.small_copy(spark.range(3), 10))
+    assert bounds.small_copy(spark.range(11), 10) is None
 
 
 def test_lookup_default(table):

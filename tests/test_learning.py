@@ -2,7 +2,6 @@ import pytest
 from conftest import rows
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -73,9 +72,8 @@ def test_counted_vectors_cost_what_the_users_cost(scores):
 def test_scaling_to_unit_range(table):
     df = table([(1.0, 5.0, 5.0, 2.0), (1.0, 3.0, 4.0, 3.0), (1.0, 2.0, 5.0, 4.0)], "a double, b double, c double, d double")
     ours = learning.minmax_columns(df, ["a", "b", "c", "d"])
-    vectors = clustering.assembled(df, ["a", "b", "c", "d"], "raw")
-    theirs = MinMaxScaler(inputCol="raw", outputCol="out").fit(vectors).transform(vectors)
-    spark_rows = sorted(tuple(r[0]) for r in theirs.select(vector_to_array("out")).collect())
+    steps = clustering.feature_steps(df, ["a", "b", "c", "d"], scale=True)
+    spark_rows = sorted(tuple(r[0]) for r in steps.transform(df).select(vector_to_array("features")).collect())
     assert rows(ours, "a_scaled", "b_scaled", "c_scaled", "d_scaled") == [pytest.approx(r) for r in spark_rows]
     assert rows(ours, "a_scaled")[0] == (0.5,)
 
