@@ -15,10 +15,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tagloom.operators import clustering  # noqa: E402
+from tagloom.operators import clustering, profiles  # noqa: E402
 from tagloom.operators.tagging import level5_rules  # noqa: E402
 from tagloom.plans.all_queries import PLANS, Data  # noqa: E402
-from tagloom.session import build_session  # noqa: E402
+from tagloom.plans.q_tags import register_standard_models  # noqa: E402
+from tagloom.plans.registry import Run, model_result, siblings  # noqa: E402
+from tagloom.session import build_session, cut_lineage  # noqa: E402
 
 HEADLINE = [
     "tag_match", "tag_age_range", "tag_consume_cycle", "tag_pay_type", "rfm_metrics", "rfm_scores", "rfe_metrics",
@@ -41,6 +43,18 @@ def rfm_value_per_user(data: Data):
     )
 
 
+def merge_one_after_another(data: Data):
+    """Three models merged by three passes over the profile, for comparison with the one-pass merge."""
+    data.view("orders"), data.view("customer")
+    register_standard_models(data)
+    profile = data.profile
+    for run in (Run(347, "consume_cycle"), Run(356, "pay_type"), Run(332, "nationality")):
+        result = model_result(data.spark, data.tags, run)
+        merged = profiles.merge_replace(result, profile, siblings(data.tags, run.tag_id))
+        profile = cut_lineage(profiles.save_merged(merged, profile), "profile")
+    return profiles.render_profile(profile)
+
+
 def timed(plan, spark, folder: str, runs: int) -> float:
     seconds = []
     for _ in range(runs + 1):
@@ -60,7 +74,10 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = {key: timed(PLANS[key], spark, folder, runs) for key in HEADLINE}
-    compared = {"tag_rfm_value_per_user": timed(rfm_value_per_user, spark, folder, runs)}
+    compared = {
+        "tag_rfm_value_per_user": timed(rfm_value_per_user, spark, folder, runs),
+        "prf_merge_one_after_another": timed(merge_one_after_another, spark, folder, runs),
+    }
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline queries, total of medians", "value": round(sum(queries.values()), 4), "unit": "sec",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.bounds import small_copy
@@ -84,9 +84,16 @@ def audience_from_index(index: DataFrame, basic: Sequence[int]) -> DataFrame:
 def audience_any(profile: DataFrame, tags: DataFrame, tag_ids: Sequence[int]) -> DataFrame:
     """Users that have any level-5 tag below the given tags, each user once."""
     leaves = leaves_of(tags, list(tag_ids)).withColumnRenamed("leaf_id", "tag_id")
+    leaves = small_copy(leaves) or leaves
     return exploded(profile).join(leaves, "tag_id", "left_semi").select("uid").distinct()
 
 
+def matching_keys(df: DataFrame, key: str, test: Column, first: int | None = None) -> DataFrame:
+    """Distinct keys of the rows that pass; ``first`` asks for the smallest keys only."""
+    keys = df.where(test).select(key).distinct()
+    return keys if first is None else keys.orderBy(key).limit(first)
+
+
 def page(df: DataFrame, key: str, number: int, size: int) -> DataFrame:
     """Page ``number`` (from 1; below 1 means the first) in key order."""
     return df.orderBy(key).offset((max(number, 1) - 1) * size).limit(size)

@@ -1,12 +1,14 @@
 """The five-level tag tree ``(id, name, rule, level, pid)``; a root has ``pid`` -1.
 
-The tree is walked with one join per level: five levels need four joins, all of them
-distributed, and no row limit applies.  Only the inner nodes (levels 1-4) are joined with one
-another; leaves, which are by far the most numerous, are joined once.
+The tree is walked with one join per level: five levels need four joins, all of them distributed,
+and no row limit applies.  The levels above the leaves are joined with one another first; the
+leaves, which are by far the most numerous, are joined once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,49 +16,36 @@ DEPTH = 5
 PATH_SEPARATOR = " --- "
 
 
-def inner_lineages(tags: DataFrame) -> DataFrame:
-    """Each node of levels 1-4 with its ancestors and itself, root first: ``(id, line, names)``."""
-    node = tags.select("id", "name", "level", "pid")
-    out = node.where("level = 1").select(
-        "id", F.array("id").alias("line"), F.array("name").alias("names")
-    )
-    found = out
-    for level in range(2, DEPTH):
-        step = node.where(F.col("level") == level).alias("n").join(
-            found.alias("p"), F.col("n.pid") == F.col("p.id")
-        )
-        found = step.select(
-            F.col("n.id").alias("id"),
-            F.concat("p.line", F.array("n.id")).alias("line"),
-            F.concat("p.names", F.array("n.name")).alias("names"),
-        )
-        out = out.unionByName(found)
-    return out
-
-
-def lineages(tags: DataFrame) -> DataFrame:
-    """Every node of the tree with its line of ids and names, root first."""
-    inner = inner_lineages(tags)
-    leaves = tags.where(F.col("level") == DEPTH).select("id", "name", "pid")
-    below = leaves.alias("n").join(inner.alias("p"), F.col("n.pid") == F.col("p.id")).select(
+def level_lineages(tags: DataFrame, level: int) -> DataFrame:
+    """Tags of one level with the ids and names from the root down to them: ``(id, line, names)``."""
+    node = tags.where(F.col("level") == level)
+    if level == 1:
+        return node.select("id", F.array("id").alias("line"), F.array("name").alias("names"))
+    above = level_lineages(tags, level - 1)
+    step = node.alias("n").join(above.alias("p"), F.col("n.pid") == F.col("p.id"))
+    return step.select(
         F.col("n.id").alias("id"),
         F.concat("p.line", F.array("n.id")).alias("line"),
         F.concat("p.names", F.array("n.name")).alias("names"),
     )
-    return inner.unionByName(below)
+
+
+def lineages(tags: DataFrame) -> DataFrame:
+    """Every tag of the tree with its line of ids and names, root first."""
+    return reduce(DataFrame.unionByName, [level_lineages(tags, n) for n in range(1, DEPTH + 1)])
 
 
 def leaf_closure(tags: DataFrame) -> DataFrame:
     """``(tag_id, leaf_id)`` for every tag and every level-5 tag below it (a leaf is its own)."""
-    full = lineages(tags).where(F.size("line") == DEPTH)
-    return full.select(F.explode("line").alias("tag_id"), F.col("id").alias("leaf_id"))
+    leaves = level_lineages(tags, DEPTH)
+    return leaves.select(F.explode("line").alias("tag_id"), F.col("id").alias("leaf_id"))
 
 
 def leaves_of(tags: DataFrame, tag_ids: list[int]) -> DataFrame:
     """Level-5 tags below any of the given tags, each once."""
     asked = F.array(*[F.lit(int(i)) for i in tag_ids]).cast("array<bigint>")
-    full = lineages(tags).where(F.size("line") == DEPTH)
-    return full.where(F.arrays_overlap("line", asked)).select(F.col("id").alias("leaf_id"))
+    leaves = level_lineages(tags, DEPTH).where(F.arrays_overlap("line", asked))
+    return leaves.select(F.col("id").alias("leaf_id"))
 
 
 def paths(tags: DataFrame, name_part: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import bins, conditions, rules
 from tagloom.operators import metrics
+from tagloom.operators.audience import matching_keys
 from tagloom.operators.joins import rows_with_keys
 from tagloom.plans.book import query
 from tagloom.plans.datasets import LABEL_COLOURS, LABEL_PRODUCTS, SQL_LINES, SQL_TAGS, Data
@@ -113,19 +114,19 @@ def flt_exact_value(d: Data):
 @query("flt_multi_and", "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'")
 def flt_multi_and(d: Data):
     test = conditions.equals_all({"o_orderstatus": "F", "o_orderpriority": "2-HIGH"})
-    return d.table("orders").where(test).select("o_custkey").distinct()
+    return matching_keys(d.table("orders"), "o_custkey", test)
 
 
 @query("flt_multi_or", "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority = '2-HIGH'")
 def flt_multi_or(d: Data):
     test = conditions.equals_any({"o_orderstatus": "F", "o_orderpriority": "2-HIGH"})
-    return d.table("orders").where(test).select("o_custkey").distinct()
+    return matching_keys(d.table("orders"), "o_custkey", test)
 
 
 @query("flt_has_column", "SELECT DISTINCT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic IS NOT NULL)")
 def flt_has_column(d: Data):
     joined = d.table("documents").select("doc_id").join(d.table("labels"), "doc_id", "left")
-    return joined.where(F.col("toxic").isNotNull()).select("doc_id").distinct()
+    return matching_keys(joined, "doc_id", F.col("toxic").isNotNull())
 
 
 @query("flt_key_lookup", """

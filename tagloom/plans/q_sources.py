@@ -26,15 +26,15 @@ def src_rule_dispatch(d: Data):
     root = d.folder_for("dispatch")
     d.table("customer").write.option("header", True).option("sep", "\t").csv(f"{root}/customer")
     d.table("supplier").select("s_suppkey", "s_name").write.json(f"{root}/supplier")
-    d.view("nation"), d.view("part")
+    for name in ("nation", "part", "orders"):
+        d.view(name)
     texts = {
         "hdfs": f"inType=hdfs\ninPath={root}/customer\nsperator=\\t\nselectFieldNames=c_custkey,c_name",
         "json": f"inType=json\ninPath={root}/supplier\nselectFieldNames=s_suppkey,s_name\n"
                 "schema=s_suppkey bigint, s_name string",
         "hive": "inType=hive\nhiveTable=tagloom_nation\nselectFieldNames=n_nationkey,n_name",
-        "mysql": "inType=mysql\ndbTable=( SELECT p_partkey, p_name FROM tagloom_part WHERE p_size > 25 ) AS t\n"
-                 "selectFieldNames=p_partkey,p_name",
-        "hbase": f"inType=hbase\npath={d.folder}/orders.parquet\nselectFieldNames=o_orderkey,o_orderpriority\n"
+        "mysql": "inType=mysql\nsql=SELECT p_partkey, p_name FROM tagloom_part WHERE p_size > 25",
+        "hbase": "inType=hbase\nhbaseTable=tagloom_orders\nselectFieldNames=o_orderkey,o_orderpriority\n"
                  "filterConditions=o_orderstatus[eq]F",
     }
     out = None

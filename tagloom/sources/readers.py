@@ -134,7 +134,8 @@ def _window(params: Params, as_of: Column | None) -> Column | None:
 
 
 def _read_wide(spark, params, as_of):
-    table = spark.read.parquet(params["path"])
+    """A Parquet path, or a catalog table under the wide table's name."""
+    table = spark.read.parquet(params["path"]) if "path" in params else spark.table(params["hbaseTable"])
     window = _window(params, as_of)
     table = table if window is None else table.where(window)
     typed = params.get("typed", "false") == "true"
@@ -146,7 +147,8 @@ def _read_relational(spark, params, as_of):
     select = fields(params.get("selectFieldNames", ""))
     extra = {k: params[k] for k in ("driver", "user", "password", "partitionColumn", "lowerBound",
                                     "upperBound", "numPartitions") if k in params}
-    return relational(spark, params["dbTable"], params.get("url"), select or None, **extra)
+    table = f"( {params['sql']} ) AS tmp" if "sql" in params else params["dbTable"]
+    return relational(spark, table, params.get("url"), select or None, **extra)
 
 
 def _read_catalog(spark, params, as_of):

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tagloom.functions import conditions
 from tagloom.operators import audience, profiles, tree
 from tagloom.operators.tagging import level5_rules
 from tagloom.plans import registry
@@ -148,6 +149,13 @@ def test_pages(spark):
     assert [r[0] for r in audience.page_after(df, "id", None, 2).collect()] == [0, 1]
 
 
+def test_first_matching_keys(table):
+    df = table([(3, "a"), (1, "a"), (2, "b"), (1, "a"), (4, "a")], "k int, v string")
+    test = conditions.equals_any({"v": "a"})
+    assert rows(audience.matching_keys(df, "k", test)) == [(1,), (3,), (4,)]
+    assert rows(audience.matching_keys(df, "k", test, first=2)) == [(1,), (3,)]
+
+
 def test_entitlement(table, profile):
     own = table([(7, 319)], "principal bigint, tag_id bigint")
     role = table([(2, 348), (3, 333)], "role bigint, tag_id bigint")

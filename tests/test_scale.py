@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_text, rows
 from pyspark.sql import functions as F
 
-from tagloom.operators import audience, joins, metrics, profiles, tagging
+from tagloom.operators import audience, joins, metrics, profiles, tagging, tree
 from tagloom.plans.all_queries import PLANS, run
 from tagloom.plans.datasets import Data
 
@@ -78,18 +78,67 @@ def test_model_run_shuffles_once_per_side(spark):
 QUIET = ("ml_", "tag_rfm", "tag_rfe", "tag_psm", "tag_usg_model", "stm_", "sink_", "srt_cluster", "agg_cluster")
 
 
+RANGE_RULES = {"join_range_between", "tag_age_range", "tag_consume_cycle", "tag_consume_cycle_narrow", "tag_model_run",
+               "prf_batch_merge", "prf_merge_replace", "prf_merge_families", "set_array_replace_siblings"}
+
+
 @pytest.mark.parametrize("key", [k for k in PLANS if not k.startswith(QUIET)])
 def test_plans_stay_on_the_jvm_and_have_no_cross_join(spark, key):
     plan = plan_text(run(key, spark, SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct", "Scan ExistingRDD"):
         assert bad not in plan
+    # only measured range rules may be matched by a nested loop
+    assert "NestedLoop" not in plan or key in RANGE_RULES
+
+
+@pytest.fixture()
+def skewed_settings(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_children_of_one_parent_are_split(spark, skewed_settings):
+    n = 60_000
+    leaves = spark.range(n).select(
+        (F.col("id") + 1000).alias("id"), F.concat(F.lit("leaf number "), F.col("id").cast("string")).alias("name"),
+        F.lit(None).cast("string").alias("rule"), F.lit(5).alias("level"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 300).alias("pid"),
+    )
+    parents = spark.range(301).select(
+        "id", F.concat(F.lit("tag "), F.col("id").cast("string")).alias("name"), F.lit(None).cast("string").alias("rule"),
+        F.lit(4).alias("level"), F.lit(-1).cast("bigint").alias("pid"),
+    )
+    tags = parents.unionByName(leaves).repartition(16)
+    df = tree.children(tags)
+    assert "skew=true" in final_plan(df)
+    assert df.count() == n + tags.join(leaves.select(F.col("pid").alias("id")).distinct(), "id", "left_anti").count()
 
 
-def test_only_range_rules_use_a_nested_loop(spark):
-    allowed = {"join_range_between", "tag_age_range", "tag_consume_cycle", "tag_consume_cycle_narrow", "tag_model_run",
-               "prf_batch_merge", "prf_merge_replace", "prf_merge_families", "set_array_replace_siblings"}
-    found = {k for k in PLANS if not k.startswith(QUIET) and "NestedLoop" in plan_text(run(k, spark, SMALL))}
-    assert found <= allowed
+def test_lines_of_one_order_are_split(spark, table, skewed_settings):
+    lines = spark.range(60_000).repartition(16).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("order_id"),
+        F.when(F.col("id") % 2 == 0, "AF").otherwise("RO").alias("colour"), F.lit("SMALL").alias("product"), F.col("id").alias("n"),
+    )
+    orders = spark.range(60_000).repartition(16).select(F.col("id").alias("order_id"), (F.col("id") % 50).alias("uid"))
+    colours = table([(1, "AF")], "id int, name string")
+    df = metrics.usg_features(lines, orders, colours, table([(9, "SMALL")], "id int, name string"), ("RO",), ("none",))
+    assert df.count() == 60_000
+    assert df.where("colour_id = 0").count() == df.where("label = 1").count() == 30_000
+    assert "skew=true" in final_plan(lines.join(orders, "order_id"))
 
 
 def test_scans_read_only_what_they_need(spark):

@@ -56,6 +56,19 @@ def test_compaction_leaves_folded_deltas_unread(spark, folder):
     assert len(now(spark, folder)) == 20
 
 
+def test_timed_commits(spark, folder):
+    put(spark, [(1, 1, "put", [10])], f"{folder}/in")
+    query = index.follow_changes(spark, f"{folder}/in", f"{folder}/index", files_per_batch=1, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert now(spark, folder) == {1: [10]}
+        put(spark, [(1, 2, "delete", None), (2, 1, "put", [20])], f"{folder}/in")
+        query.processAllAvailable()
+        assert now(spark, folder) == {2: [20]}
+    finally:
+        query.stop()
+
+
 def test_empty_index(spark, folder):
     assert now(spark, folder) == {}
 
