@@ -48,7 +48,7 @@ def fit_kmeans(
 
 
 def best_by_iterations(
-    df: DataFrame, k: int, max_iters: Sequence[int] = (5, 10, 20), weight: str | None = None,
+    df: DataFrame, k: int, max_iters: Sequence[int] = (5, 15, 20), weight: str | None = None,
 ) -> tuple[KMeansModel, list[tuple[int, float]]]:
     """Train once per iteration limit; keep the model with the lowest cost."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)

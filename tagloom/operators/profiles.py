@@ -1,4 +1,7 @@
-"""The profile table ``(uid, tag_ids array<bigint>)`` and how model results enter it."""
+"""The profile table ``(uid, tag_ids array<bigint>)`` and how model results enter it.
+
+Model results are ``(uid, tag_id)``; a row without a tag says nothing about its user.
+"""
 
 from __future__ import annotations
 
@@ -27,16 +30,19 @@ def render_profile(profile: DataFrame) -> DataFrame:
 def merge_append(model: DataFrame, profile: DataFrame) -> DataFrame:
     """Users of ``model`` with their new tag added; a user without a profile starts one."""
     old = profile.select("uid", F.col("tag_ids").alias("_old"))
-    return model.join(old, "uid", "left").select(
+    return model.where(F.col("tag_id").isNotNull()).join(old, "uid", "left").select(
         "uid", lists.append_tag("_old", "tag_id").alias("tag_ids")
     )
 
 
 def merge_replace(model: DataFrame, profile: DataFrame, siblings: Sequence[int]) -> DataFrame:
-    """As ``merge_append``, but earlier tags of the same family give way to the new one."""
+    """As ``merge_append``, but earlier tags of the same family give way to the new one.
+
+    ``model`` has one row per user; ``merge_all`` takes any number.
+    """
     old = profile.select("uid", F.col("tag_ids").alias("_old"))
     family = lists.tag_array(siblings)
-    return model.join(old, "uid", "left").select(
+    return model.where(F.col("tag_id").isNotNull()).join(old, "uid", "left").select(
         "uid", lists.replace_siblings("_old", family, "tag_id").alias("tag_ids")
     )
 
@@ -50,7 +56,7 @@ def merge_all(results: Sequence[DataFrame], profile: DataFrame, families: Sequen
     """
     fresh = None
     for number, result in enumerate(results):
-        rows = result.select(
+        rows = result.where(F.col("tag_id").isNotNull()).select(
             "uid", F.lit(number).alias("_model"), F.col("tag_id").cast("bigint").alias("_tag")
         )
         fresh = rows if fresh is None else fresh.unionByName(rows)

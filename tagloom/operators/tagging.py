@@ -71,7 +71,7 @@ def gender_share_tag(items: DataFrame, rules: DataFrame, label: str = "label") -
 
 
 def gender_model_tag(
-    items: DataFrame, rules: DataFrame, folds: int = 3, depths=(3, 5), impurities=("gini", "entropy"),
+    items: DataFrame, rules: DataFrame, folds: int = 3, depths=(5,), impurities=("gini", "entropy"),
     bins=(32,),
 ) -> DataFrame:
     """Shopping gender from item labels that a tuned tree predicts.

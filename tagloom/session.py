@@ -27,6 +27,21 @@ def build_session(app_name: str = "tagloom", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for reading ``input_bytes`` on ``cores``.
+
+    Shuffles start with partitions of about 256 MB, were all the input shuffled, and at least two
+    waves of tasks; AQE merges those that turn out small.  The upper limit keeps the number of
+    shuffle blocks (map tasks x partitions) within what the shuffle service can index.
+    """
+    wanted = max(2 * cores, -(-input_bytes // (256 << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(min(wanted, 50_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.files.maxPartitionBytes": "256MB" if input_bytes > 1 << 40 else "128MB",
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

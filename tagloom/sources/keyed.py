@@ -51,7 +51,7 @@ def versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def write_version(df: DataFrame, root: str) -> int:
-    """Write the next version and return its number."""
+    """Write the next version and return its number.  One writer at a time."""
     spark = df.sparkSession
     known = versions(spark, root)
     number = known[-1] + 1 if known else 1

@@ -60,6 +60,15 @@ def test_one_pass_equals_one_model_after_another(table):
     assert {r["uid"]: r["tag_ids"] for r in joined.collect()} == expected
 
 
+def test_a_result_without_a_tag_changes_nothing(table, profile):
+    model = table([(1, None), (2, 349)], "uid bigint, tag_id bigint")
+    family = table([(t, 347) for t in range(348, 356)], "tag_id bigint, family bigint")
+    expected = [("1", "319,322,329,333,354"), ("2", "320,349"), ("3", "")]
+    assert shown(profiles.merge_all([model], profile, [range(348, 356)])) == expected
+    assert shown(profiles.merge_by_family(model, profile, family)) == expected
+    assert shown(profiles.save_merged(profiles.merge_replace(model, profile, range(348, 356)), profile)) == expected
+
+
 def test_family_merge_keeps_users_without_tags(table, profile):
     family = table([(348, 347)], "tag_id bigint, family bigint")
     none = table([], "uid bigint, tag_id bigint")

@@ -122,6 +122,12 @@ def test_shared_folder_follows_the_session(spark):
         session.shared_root(Unset)
 
 
+def test_sizing_grows_with_the_input():
+    small, large = session.sizing(10 << 30, 8), session.sizing(100 << 40, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "40"
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+
+
 def test_cut_lineage_keeps_rows_and_types(table):
     df = table([(1, [1, 2], "x"), (2, None, None)], "a int, b array<bigint>, c string")
     again = session.cut_lineage(df)
