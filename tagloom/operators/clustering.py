@@ -120,8 +120,12 @@ def feature_steps(vectors: DataFrame, columns: Sequence[str], scale: bool = Fals
 
 
 def cluster_vectors(scores: DataFrame, columns: Sequence[str], scale: bool = False) -> DataFrame:
-    """Distinct score vectors as ``features`` with their ``weight``, ready for training."""
-    grouped = score_vectors(scores, columns)
+    """Distinct score vectors as ``features`` with their ``weight``, ready for training.
+
+    They are written first: training passes over them many times, and reading the few rows back
+    takes a few tasks, where a shuffle's result would have as many tasks as it has partitions.
+    """
+    grouped = cut_lineage(score_vectors(scores, columns), "vectors")
     return feature_steps(grouped, columns, scale).transform(grouped)
 
 
@@ -135,7 +139,7 @@ def score_cluster_tag(
     data.  ``make_model`` replaces the plain fit, for instance by a stored model.
     """
     kept = cut_lineage(scores.select("uid", *columns), "scores")
-    grouped = score_vectors(kept, columns)
+    grouped = cut_lineage(score_vectors(kept, columns), "vectors")
     steps = feature_steps(grouped, columns, scale)
     vectors = steps.transform(grouped)
     model = make_model(vectors) if make_model else fit_kmeans(vectors, k, max_iter, weight="weight")

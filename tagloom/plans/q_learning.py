@@ -132,6 +132,7 @@ def ml_train_validation_split(d: Data):
     rows = rfm_scores(d).join(d.users.select("uid", "nationality"), "uid").withColumn(
         "label", (F.col("nationality") % 2).cast("double")
     )
+    rows = cut_lineage(rows.select(*RFM_COLUMNS, "label"), "rows")
     _, scores = learning.train_validated(rows, RFM_COLUMNS, 0.8, depths=(2, 5), impurities=("gini",), bins=(32,))
     return d.small(scores, "depth int, impurity string, bins int, accuracy double")
 
