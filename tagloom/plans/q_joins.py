@@ -8,7 +8,7 @@ from tagloom.functions.dates import date_digits
 from tagloom.operators import joins, tagging, tree
 from tagloom.plans.book import query
 from tagloom.plans.datasets import (
-    BRAND_BASE, PART_BASE, SQL_LINES, SQL_PROFILE_ROWS, SQL_TAGS, SQL_USERS, Data,
+    PART_BASE, SQL_LINES, SQL_PROFILE_ROWS, SQL_TAGS, SQL_USERS, Data,
 )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import audience, profiles, tagging, tree
 from tagloom.plans.book import query
 from tagloom.plans.datasets import (
-    PART_BASE, SQL_COMBINED, SQL_CYCLE, SQL_PAY, SQL_PROFILE_ROWS, SQL_PROFILE_TABLE, SQL_TAGS, Data,
+    PART_BASE, SQL_CYCLE, SQL_PAY, SQL_PROFILE_ROWS, SQL_TAGS, Data,
 )
 from tagloom.sources.keyed import read_version, write_version
 

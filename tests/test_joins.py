@@ -2,7 +2,6 @@ import random
 
 import pytest
 from conftest import plan_text, rows
-from pyspark.sql import functions as F
 
 from tagloom import bounds
 from tagloom.operators import joins
