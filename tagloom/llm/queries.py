@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import near_text
+from tagloom.llm import byte_pairs, near_text, near_vectors, top_inner
 from tagloom.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op8_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_text.near_duplicates(table(spark, folder, "documents"), Scratch(spark, "op8"), size=4, percent=80)
+
+
+@query("op2_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"), Scratch(spark, "op2"), threshold=0.9)
+
+
+@query("op6_exact_top_k")
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner.top_inner(table(spark, folder, "embeddings"), Scratch(spark, "op6"), lambda vec_id: vec_id % 20 == 0, k=20, scale=64.0)
+
+
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    ranks = byte_pairs.read_ranks(public_tokenizers.path(RANKS))
+    coded = byte_pairs.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return byte_pairs.digests(coded, ranks)
+
+
+@query("op3_byte_level_bpe")
+def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"))
