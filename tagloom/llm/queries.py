@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import byte_pairs, near_text, near_vectors, top_inner
+from tagloom.llm import byte_pairs, language, near_text, near_vectors, top_inner
 from tagloom.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def token_digests(docs: DataFrame) -> DataFrame:
 @query("op3_byte_level_bpe")
 def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents"))
+
+
+@query("op5_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages_of(table(spark, folder, "documents"), Scratch(spark, "op5"))
