@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import byte_pairs, language, near_text, near_vectors, top_inner
+from tagloom.llm import byte_pairs, language, near_text, near_vectors, top_inner, toxicity
 from tagloom.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_language_id")
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages_of(table(spark, folder, "documents"), Scratch(spark, "op5"))
+
+
+@query("op9_toxicity")
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_of(table(spark, folder, "documents"), table(spark, folder, "labels"), Scratch(spark, "op9"))
