@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import byte_pairs, language, near_text, near_vectors, top_inner, toxicity
+from tagloom.llm import byte_pairs, chat, fixity, language, licences, mixing, near_text, near_vectors, top_inner, toxicity
 from tagloom.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,102 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_toxicity")
 def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_of(table(spark, folder, "documents"), table(spark, folder, "labels"), Scratch(spark, "op9"))
+
+
+def _licence_sql() -> str:
+    known = " UNION ALL ".join(
+        f"SELECT '{name}' AS licence, {licences._pairs(licences._words(text))!r} AS pairs" for name, text in licences.TEMPLATES.items()
+    )
+    return f"""
+    WITH units AS (
+      SELECT DISTINCT doc_id, unnest(list_concat(string_split(text, chr(10)), list_concat(string_split(text, chr(10) || chr(10)), [text]))) AS unit
+      FROM documents WHERE text IS NOT NULL),
+    words AS (SELECT doc_id, string_split(trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM units),
+    grams AS (
+      SELECT doc_id, list_distinct(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS g
+      FROM words WHERE w <> ['']),
+    known AS ({known}),
+    scored AS (
+      SELECT doc_id, licence, len(list_intersect(g, pairs)) AS shared, len(g) + len(pairs) AS total
+      FROM grams JOIN known ON 200 * least(len(g), len(pairs)) >= 80 * (len(g) + len(pairs)))
+    SELECT doc_id, licence, max(2.0::DOUBLE * shared / total) AS dice, count(*) AS n_units
+    FROM scored WHERE 200 * shared >= 80 * total GROUP BY doc_id, licence"""
+
+
+@query("op4_licence_scan", _licence_sql())
+def licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(table(spark, folder, "documents"), percent=80)
+
+
+_CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, regexp_matches(text, '[<\[]\\+/?(?:s>|INST\]|ROLE\])') OR contains(text,
+      CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN '</s>' ELSE ' [/ROLE]' END) AS clash
+  FROM rows),
+written AS (
+  SELECT *, length(CASE WHEN clash THEN regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]|ROLE\]))', '\1\\\2\3', 'g') ELSE text END)
+    + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5 ELSE 19 + length(url_encode(role)) END AS chars
+  FROM marked)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id"""
+
+
+@query("op7_chat_formatting", _CHAT_SQL)
+def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    more = spark.sql("""
+        SELECT -1L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text
+        UNION ALL SELECT -1L, 1L, 'assistant', '</s>[INST] ok [/INST]'""")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    return chat.digests(chat.format_conversations(turns))
+
+
+#: Target weights of the mix, in hundredths; all other sources share the rest.
+MIX = {"src0": 20, **{f"src{i}": 5 for i in range(1, 10)}, **{f"src{i}": 3 for i in range(10, 20)}}
+MIX_OTHER = 5
+MIX_BLOCK = 32
+
+
+def _mix_sql() -> str:
+    slots = ", ".join(f"('{pool}', {turn}, {place})" for pool, turn, place in mixing.windows_in_sql({**MIX, mixing.OTHER: MIX_OTHER}))
+    return f"""
+    WITH slots(pool, turn, place) AS (VALUES {slots}),
+    shares AS (SELECT pool, count(*) AS share FROM slots GROUP BY pool),
+    pooled AS (
+      SELECT doc_id, CASE WHEN source IN (SELECT pool FROM shares WHERE pool <> '*') THEN source ELSE '*' END AS pool FROM documents),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS place_in_pool FROM pooled),
+    blocked AS (SELECT *, place_in_pool // {MIX_BLOCK} AS block FROM ranked JOIN shares USING (pool))
+    SELECT doc_id, blocked.pool, block::BIGINT AS block, (block // share * {sum(MIX.values()) + MIX_OTHER} + place)::BIGINT AS slot,
+      ((block // share * {sum(MIX.values()) + MIX_OTHER} + place) * {MIX_BLOCK} + place_in_pool % {MIX_BLOCK})::BIGINT AS "position"
+    FROM blocked JOIN slots ON slots.pool = blocked.pool AND slots.turn = block % share"""
+
+
+@query("op10_source_mixing", _mix_sql())
+def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mixed(docs, MIX, MIX_OTHER, MIX_BLOCK).select("row.doc_id", "pool", "block", "slot", "position")
+
+
+_FIXITY_SQL = """
+WITH records AS (
+  SELECT page_id AS record_id, page_id // 4096 AS file_id,
+    strlen('WARC/1.1' || 'WARC-Type: resource' || 'WARC-Record-ID: <urn:page:' || page_id || '>' || 'WARC-Target-URI: ' || coalesce(url, '')
+      || 'Content-Type: text/html' || 'Content-Length: ' || strlen(coalesce(html, ''))) + 14 + strlen(coalesce(html, '')) + 4 AS length
+  FROM pages),
+placed AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY file_id ORDER BY record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset" FROM records)
+SELECT file_id, record_id, "offset"::BIGINT AS "offset", length::BIGINT AS length, CASE WHEN record_id % 211 = 5 THEN 'missing' ELSE 'changed' END AS fault
+FROM placed WHERE record_id % 211 = 5 OR record_id % 97 = 3
+UNION ALL SELECT file_id, record_id, NULL, length, 'extra' FROM placed WHERE record_id % 307 = 7 AND record_id % 211 <> 5"""
+
+
+@query("op1_merkle_fixity_audit", _FIXITY_SQL)
+def merkle_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
+    records = fixity.warc_records(table(spark, folder, "pages"))
+    scratch = Scratch(spark, "op1")
+    original = scratch.keep(fixity.leaves(records), "leaves")
+    return fixity.audit(original, fixity.leaves(fixity.damaged(records)), scratch)
