@@ -130,15 +130,26 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_column: st
     return split.mapInArrow(_encoding(ranks), schema)
 
 
-def _decoding(ranks: dict[bytes, int], special: dict[int, bytes]):
-    pieces = [b""] * (max(ranks.values()) + 1)
+def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece
+    return pieces
+
+
+def _rows(column: pa.ListArray) -> Iterator[list[int]]:
+    """The lists of a column, one at a time."""
+    values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    for start, stop in zip(offsets[:-1], offsets[1:]):
+        yield values[start:stop].tolist()
+
+
+def _decoding(ranks: dict[bytes, int]):
+    pieces = _pieces(ranks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(batch.num_columns - 1).to_pylist()
-            texts = [b"".join([pieces[i] for i in row or ()]) for row in ids]
+            texts = [b"".join([pieces[i] for i in ids]) for ids in _rows(batch.column(batch.num_columns - 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
 
     return decode
@@ -147,27 +158,24 @@ def _decoding(ranks: dict[bytes, int], special: dict[int, bytes]):
 def decode(df: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``df``, whose last column is ``ids``, with ``decoded``: the concatenated bytes of the ids' pieces."""
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "decoded binary"])
-    return df.mapInArrow(_decoding(ranks, {}), schema)
+    return df.mapInArrow(_decoding(ranks), schema)
 
 
 def _digesting(ranks: dict[bytes, int]):
     """Per row: the number of ids, and the digests of the ids as text and of the decoded bytes."""
-    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece
+    pieces = _pieces(ranks)
     names = [str(i) for i in range(len(pieces))]
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
-            values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-            texts, decoded = [], []
-            for start, stop in zip(offsets[:-1], offsets[1:]):
-                ids = values[start:stop].tolist()
+            counts, texts, decoded = [], [], []
+            for ids in _rows(column):
+                counts.append(len(ids))
                 texts.append(hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join([pieces[i] for i in ids])).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(np.diff(offsets).astype(np.int64)), pa.array(texts), pa.array(decoded)],
+                [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(texts), pa.array(decoded)],
                 [*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
