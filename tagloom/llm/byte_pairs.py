@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose merges a task remembers, and the length up to which it does.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_BYTES = 64
+#: Rows that a task works on at once.
+SLICE_ROWS = 256
 _LONG = 128
 
 
@@ -81,12 +83,18 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def _encoding(ranks: dict[bytes, int]):
-    """Adds each row's ids, from its words: the batch's distinct words are folded, then taken by row."""
+    """Adds each row's ids, from its words: a slice's distinct words are folded, then taken by row."""
     held: dict[bytes, np.ndarray] = {}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             words = batch.column(batch.num_columns - 1)
             coded = words.flatten().cast(pa.large_binary()).dictionary_encode()
             if isinstance(coded, pa.ChunkedArray):
@@ -121,7 +129,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_column: st
     """``df`` without the text, with ``ids``: the tokens of every match of ``pattern`` in the whole text, in order.
 
     Null and empty texts have no ids.  The JVM splits the texts (with Unicode classes); a task folds
-    the distinct words of each batch and remembers a bounded number of them.  No row is shuffled.
+    the distinct words of each slice of a batch and remembers a bounded number of them.  No row is shuffled.
     """
     others = [c for c in df.columns if c != text_column]
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
@@ -148,7 +156,7 @@ def _decoding(ranks: dict[bytes, int]):
     pieces = _pieces(ranks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [b"".join([pieces[i] for i in ids]) for ids in _rows(batch.column(batch.num_columns - 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
 
