@@ -128,12 +128,15 @@ def _encoding(ranks: dict[bytes, int]):
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_column: str = "text") -> DataFrame:
     """``df`` without the text, with ``ids``: the tokens of every match of ``pattern`` in the whole text, in order.
 
-    Null and empty texts have no ids.  The JVM splits the texts (with Unicode classes); a task folds
+    Null and empty texts have no ids; a column ``ids`` of the input is replaced.  The JVM splits the texts (with Unicode classes); a task folds
     the distinct words of each slice of a batch and remembers a bounded number of them.  No row is shuffled.
     """
-    others = [c for c in df.columns if c != text_column]
+    others = [c for c in df.columns if c not in (text_column, "ids")]
+    words = "words"
+    while words in others:
+        words = f"_{words}"
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    split = df.select(*others, F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0)).alias("words"))
+    split = df.select(*others, F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0)).alias(words))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in split.select(*others).schema), "ids array<int>"])
     return split.mapInArrow(_encoding(ranks), schema)
 
