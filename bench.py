@@ -19,7 +19,7 @@ from tagloom.operators import clustering, profiles  # noqa: E402
 from tagloom.operators.tagging import level5_rules  # noqa: E402
 from tagloom.plans.all_queries import PLANS, Data  # noqa: E402
 from tagloom.plans.q_tags import register_standard_models  # noqa: E402
-from tagloom.plans.registry import Run, model_result, siblings  # noqa: E402
+from tagloom.plans.registry import Run, definitions, model_result  # noqa: E402
 from tagloom.session import build_session, cut_lineage  # noqa: E402
 
 HEADLINE = [
@@ -50,8 +50,7 @@ def merge_one_after_another(data: Data):
     profile = data.profile
     for run in (Run(347, "consume_cycle"), Run(356, "pay_type"), Run(332, "nationality")):
         result = model_result(data.spark, data.tags, run)
-        merged = profiles.merge_replace(result, profile, siblings(data.tags, run.tag_id))
-        profile = cut_lineage(profiles.save_merged(merged, profile), "profile")
+        profile = cut_lineage(profiles.merge_results([(run.tag_id, result)], profile, definitions(data.tags)), "profile")
     return profiles.render_profile(profile)
 
 

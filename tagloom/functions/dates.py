@@ -22,14 +22,14 @@ def _col(value) -> Column:
 
 
 def date_digits(value) -> Column:
-    """``1982-01-11`` (text or date) as the integer 19820111."""
-    return F.regexp_replace(_col(value).cast("string"), "-", "").cast("int")
+    """``1982-01-11`` (text or date) as the integer 19820111; NULL for any other text."""
+    return F.regexp_replace(_col(value).cast("string"), "-", "").try_cast("int")
 
 
 def days_since(value, as_of: Column, moved_back: int = 0) -> Column:
-    """Whole days from a date, timestamp or ``yyyy-MM-dd…`` text to ``as_of`` less a shift."""
+    """Whole days from a date, timestamp or ``yyyy-MM-dd…`` text to ``as_of`` less a shift; NULL for any other text."""
     until = F.date_sub(as_of, moved_back) if moved_back else as_of
-    return F.datediff(until, F.to_date(_col(value)))
+    return F.datediff(until, _col(value).try_cast("date"))
 
 
 def epoch_to_text(seconds, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:

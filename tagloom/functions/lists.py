@@ -13,9 +13,14 @@ def _col(value) -> Column:
 
 
 def split_list(text) -> Column:
-    """``"319,322"`` as ``[319, 322]``; blank parts vanish, NULL stays NULL."""
-    parts = F.transform(F.split(_col(text), ","), lambda p: F.trim(p).try_cast("bigint"))
-    return F.filter(parts, lambda p: p.isNotNull())
+    """``"319,322"`` as ``[319, 322]``; blank parts vanish, NULL stays NULL.
+
+    A part that is no tag id ends the job: dropping it would delete the tag when the list is stored.
+    """
+    parts = F.filter(F.transform(F.split(_col(text), ","), lambda p: F.trim(p)), lambda p: p != "")
+    return F.transform(parts, lambda p: F.coalesce(
+        p.try_cast("bigint"), F.raise_error(F.concat(F.lit("not a tag id: "), p)).cast("bigint")
+    ))
 
 
 def join_list(tags) -> Column:
@@ -28,14 +33,22 @@ def _or_empty(tags) -> Column:
 
 def append_tag(tags, tag) -> Column:
     """Add one tag; order of first occurrence is kept and nothing appears twice."""
-    added = F.filter(F.array(_col(tag).cast("bigint")), lambda t: t.isNotNull())
-    return F.array_distinct(F.concat(_or_empty(tags), added))
+    return append_tags(tags, F.array_compact(F.array(_col(tag).cast("bigint"))))
+
+
+def append_tags(tags, added) -> Column:
+    """The same for a list of tags."""
+    return F.array_distinct(F.concat(_or_empty(tags), _or_empty(added)))
 
 
 def replace_siblings(tags, siblings, tag) -> Column:
     """Drop every tag of the same family, then add the new one; sorted."""
-    added = F.filter(F.array(_col(tag).cast("bigint")), lambda t: t.isNotNull())
-    return F.array_sort(F.array_union(F.array_except(_or_empty(tags), siblings), added))
+    return replace_family(tags, siblings, F.array_compact(F.array(_col(tag).cast("bigint"))))
+
+
+def replace_family(tags, siblings, added) -> Column:
+    """The same for a list of tags."""
+    return F.array_sort(F.array_union(F.array_except(_or_empty(tags), siblings), _or_empty(added)))
 
 
 def tag_array(ids) -> Column:

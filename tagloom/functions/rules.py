@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def parse_rule(text: str) -> dict[str, str]:
-    """``key=value`` lines of one level-4 rule; only the first ``=`` of a line separates."""
+    """``key=value`` lines of one level-4 rule; only the first ``=`` separates, of equal keys the last counts."""
     pairs = (line.strip().partition("=") for line in text.splitlines() if "=" in line)
     return {key.strip(): value.strip() for key, _, value in pairs}
 
@@ -16,15 +16,16 @@ def rule_params(rule) -> Column:
     """The same as a ``map<string,string>`` column, for whole tables of rules."""
     rule = F.col(rule) if isinstance(rule, str) else rule
     lines = F.filter(F.split(rule, r"\r?\n"), lambda line: F.instr(line, "=") > 0)
-    return F.map_from_entries(
-        F.transform(
-            lines,
-            lambda line: F.struct(
-                F.trim(F.substring_index(line, "=", 1)).alias("key"),
-                F.trim(line.substr(F.instr(line, "=") + 1, F.length(line))).alias("value"),
-            ),
-        )
+    pairs = F.transform(
+        lines,
+        lambda line: F.struct(
+            F.trim(F.substring_index(line, "=", 1)).alias("key"),
+            F.trim(line.substr(F.instr(line, "=") + 1, F.length(line))).alias("value"),
+        ),
     )
+    keys = F.transform(pairs, lambda pair: pair["key"])
+    last = F.filter(pairs, lambda pair, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), pair["key"]))
+    return F.map_from_entries(last)
 
 
 def range_rule(rule) -> Column:

@@ -66,6 +66,12 @@ def md5_key(value) -> Column:
     return F.md5(_col(value).cast("string").cast("binary"))
 
 
+def portable_hash(*key, salt: int = 0) -> Column:
+    """A number of 60 bits from a key and a salt, the same in every engine that has MD5."""
+    digest = F.md5(F.concat_ws(":", *[_col(k).cast("string") for k in key], F.lit(str(salt))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
 def int_to_ip(value) -> Column:
     """32-bit number as a dotted quad, highest byte first."""
     value = _col(value).cast("bigint")

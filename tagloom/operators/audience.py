@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.bounds import small_copy
+from tagloom.bounds import RULE_ROWS, small_copy
 from tagloom.functions import lists, text
 from tagloom.operators.profiles import exploded
 from tagloom.operators.tree import PATH_SEPARATOR, leaves_of, lineages
@@ -57,8 +57,11 @@ def combined_members(profile: DataFrame, tag_map: DataFrame) -> DataFrame:
 
 def audience_all(
     profile: DataFrame, basic: Sequence[int], combined: Sequence[int] = (), tag_map: DataFrame | None = None,
+    after=None, size: int | None = None,
 ) -> DataFrame:
-    """Users that have every basic tag and every combined tag given.
+    """Users that have every basic tag and every combined tag given; ``size`` asks for a page.
+
+    A page starts after the user id ``after`` (None: at the first), so a deep page costs no more.
 
     Basic tags are tested on the array in the scan, without a shuffle; combined tags are only
     evaluated for the users left.
@@ -70,7 +73,7 @@ def audience_all(
         met = combined_members(users, asked).groupBy("uid").agg(F.count("*").alias("_met"))
         met = met.where(F.col("_met") == len(set(combined))).select("uid")
         users = users.join(met, "uid", "left_semi")
-    return users.select("uid")
+    return users.select("uid") if size is None else page_after(users.select("uid"), "uid", after, size)
 
 
 def audience_from_index(index: DataFrame, basic: Sequence[int]) -> DataFrame:
@@ -82,9 +85,15 @@ def audience_from_index(index: DataFrame, basic: Sequence[int]) -> DataFrame:
 
 
 def audience_any(profile: DataFrame, tags: DataFrame, tag_ids: Sequence[int]) -> DataFrame:
-    """Users that have any level-5 tag below the given tags, each user once."""
+    """Users that have any level-5 tag below the given tags, each user once.
+
+    Leaves up to a measured number are tested on the array in the scan, without a shuffle; more
+    leaves are joined.
+    """
     leaves = leaves_of(tags, list(tag_ids)).withColumnRenamed("leaf_id", "tag_id")
-    leaves = small_copy(leaves) or leaves
+    few = leaves.limit(RULE_ROWS + 1).collect()
+    if len(few) <= RULE_ROWS:
+        return profile.where(F.arrays_overlap("tag_ids", lists.tag_array([r["tag_id"] for r in few]))).select("uid")
     return exploded(profile).join(leaves, "tag_id", "left_semi").select("uid").distinct()
 
 

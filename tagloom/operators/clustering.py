@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -91,20 +91,32 @@ def silhouette_by_k(
 
 
 def ranked_clusters(model: KMeansModel, df: DataFrame, descending: bool = True) -> DataFrame:
-    """``(prediction, centre_sum, rank)``: rank 0 has the largest sum of centre coordinates.
+    """``ranked_centres`` of a trained model."""
+    return ranked_centres(df.sparkSession, model.clusterCenters(), descending)
 
-    Equal sums are ordered by cluster index.  The table has ``k`` rows.
+
+def ranked_centres(spark: SparkSession, centres: Sequence[Sequence[float]], descending: bool = True) -> DataFrame:
+    """``(prediction, centre_sum, rank)``: rank 0 has the largest (or smallest) sum of centre coordinates.
+
+    Equal sums are ordered by cluster index.  The table has one row a cluster.
     """
-    rows = [(i, float(sum(c))) for i, c in enumerate(model.clusterCenters())]
+    rows = [(i, float(sum(c))) for i, c in enumerate(centres)]
     rows.sort(key=lambda r: (-r[1] if descending else r[1], r[0]))
     table = [(i, total, rank) for rank, (i, total) in enumerate(rows)]
-    return small_table(df.sparkSession, table, "prediction int, centre_sum double, rank int")
+    return small_table(spark, table, "prediction int, centre_sum double, rank int")
+
+
+def cluster_sizes(predicted: DataFrame) -> DataFrame:
+    return predicted.groupBy("prediction").agg(F.count("*").alias("n"))
 
 
 def cluster_tags(predicted: DataFrame, ranks: DataFrame, rules: DataFrame) -> DataFrame:
-    """Prediction -> rank of its cluster -> the tag whose rule is that rank."""
-    tag_of = match_values(ranks.select("prediction", "rank"), "rank", rules).select("prediction", "tag_id")
-    return predicted.join(small_copy(tag_of) or tag_of, "prediction").select("uid", "tag_id")
+    """Prediction -> rank of its cluster -> the tag whose rule is that rank.
+
+    A rank without a rule, or a prediction without a rank, ends the job: no user is lost.
+    """
+    ranked = predicted.join(small_copy(ranks.select("prediction", "rank")) or ranks.select("prediction", "rank"), "prediction", "left")
+    return match_values(ranked, "rank", rules, unmatched="fail").select("uid", "tag_id")
 
 
 def feature_steps(vectors: DataFrame, columns: Sequence[str], scale: bool = False) -> PipelineModel:
@@ -168,6 +180,8 @@ def spending_power_tag(
     bounds = cluster_bounds(model.transform(vectors), columns).collect()
     order = sorted(bounds, key=lambda b: (-b["max_score"], -b["min_score"], b["prediction"]))
     tags = [r["tag_id"] for r in rules.orderBy("tag_id").limit(k).collect()]
+    if len(tags) < len(order):
+        raise ValueError(f"{len(tags)} rules for {len(order)} clusters")
     table = [(b["prediction"], tag) for b, tag in zip(order, tags)]
     tag_of = small_table(scores.sparkSession, table, "prediction int, tag_id bigint")
     predicted = model.transform(assembled(kept, columns)).select("uid", "prediction")

@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions.text import portable_hash
 from tagloom.small import small_table
 
 SEED = 31
@@ -24,7 +25,7 @@ def split_by_key(df: DataFrame, key: str, train_percent: int) -> tuple[DataFrame
     Unlike a random split the result does not depend on partitioning or row order, so a lost
     executor recomputes the same rows.
     """
-    place = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(100))
+    place = portable_hash(key) % 100
     return df.where(place < train_percent), df.where(place >= train_percent)
 
 

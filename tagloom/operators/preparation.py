@@ -1,6 +1,6 @@
 """Preparing raw business data: repairing ids and codes, filling keys, synthetic users.
 
-Pseudo-random choices are hashes of a key with a fixed seed.  They do not change when a task is
+Pseudo-random choices are hashes of a key and a salt.  They do not change when a task is
 run again or the data is partitioned differently.
 """
 
@@ -11,11 +11,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.functions.text import portable_hash
 from tagloom.session import cut_lineage
 from tagloom.small import small_table
 
-SEED = 42
-
 # Payment codes and the names shown for them, and the shift of finish times.
 PAY_NAMES = {"alipay": "支付宝", "wxpay": "微信支付", "chinapay": "银联支付", "cod": "货到付款"}
 FINISH_SHIFT_DAYS = 300
@@ -23,7 +22,7 @@ FINISH_SHIFT_DAYS = 300
 
 def pick(n: int, *key, salt: int = 0) -> Column:
     """A number in ``0 .. n-1`` that depends only on the key."""
-    return F.pmod(F.xxhash64(*key, F.lit(SEED + salt)), F.lit(n)).cast("int")
+    return (portable_hash(*key, salt=salt) % n).cast("int")
 
 
 def choose(values: Sequence[str], *key, salt: int = 0) -> Column:
@@ -78,7 +77,7 @@ def fill_missing_users(orders: DataFrame, users: DataFrame, missing: int = 0) ->
     real = real.withColumnRenamed("uid", "_uid")
     n = real.agg(F.count("*")).scalar()
     lost = orders.where(F.col("uid") == missing).withColumn(
-        "_place", F.pmod(F.xxhash64("order_id", F.lit(SEED)), F.nullif(n, F.lit(0)))
+        "_place", portable_hash("order_id") % F.nullif(n, F.lit(0))
     )
     found = lost.join(real, F.col("_place") == F.col("place"), "left").withColumn(
         "uid", F.coalesce("_uid", "uid")
@@ -88,8 +87,8 @@ def fill_missing_users(orders: DataFrame, users: DataFrame, missing: int = 0) ->
 
 
 # Small word lists of our own for synthetic users.
-_FAMILY = ("赵", "钱", "孙", "李", "周", "吴", "郑", "王", "冯", "陈")
-_GIVEN = ("明", "芳", "伟", "敏", "静", "强", "磊", "洋", "艳", "杰")
+_FAMILY = ("Alder", "Birch", "Cedar", "Dogwood", "Elm", "Fir", "Gorse", "Hazel", "Ivy", "Juniper")
+_GIVEN = ("Amber", "Basil", "Coral", "Dune", "Ember", "Flint", "Gale", "Heath", "Iris", "Jasper")
 _ROADS = ("River Road", "Hill Street", "Station Lane", "Garden Way", "Harbour Walk")
 _DOMAINS = ("example.com", "example.org", "example.net")
 _MOBILE_HEADS = ("130", "136", "139", "150", "158", "177", "186")
@@ -101,7 +100,7 @@ def synthetic_users(ids: DataFrame | SparkSession, count: int | None = None) ->
     ip = [(pick(254, "uid", salt=10 + i) + 1).cast("string") for i in range(4)]
     return frame.select(
         "uid",
-        F.concat(choose(_FAMILY, "uid", salt=2), choose(_GIVEN, "uid", salt=3)).alias("name"),
+        F.concat_ws(" ", choose(_GIVEN, "uid", salt=3), choose(_FAMILY, "uid", salt=2)).alias("name"),
         pick(2, "uid", salt=4).alias("sex"),
         F.concat_ws(" ", (pick(300, "uid", salt=5) + 1).cast("string"), choose(_ROADS, "uid", salt=6)).alias("address"),
         F.concat(choose(_MOBILE_HEADS, "uid", salt=7), F.lpad(pick(100_000_000, "uid", salt=8).cast("string"), 8, "0")).alias("phone"),

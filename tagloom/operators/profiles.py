@@ -27,63 +27,56 @@ def render_profile(profile: DataFrame) -> DataFrame:
     )
 
 
+def _per_user(model: DataFrame) -> DataFrame:
+    """All new tags of a user in one row, sorted."""
+    rows = model.where(F.col("tag_id").isNotNull())
+    return rows.groupBy("uid").agg(F.array_sort(F.collect_set(F.col("tag_id").cast("bigint"))).alias("_add"))
+
+
 def merge_append(model: DataFrame, profile: DataFrame) -> DataFrame:
-    """Users of ``model`` with their new tag added; a user without a profile starts one."""
+    """Users of ``model`` with their new tags added, one row each; a user without a profile starts one."""
     old = profile.select("uid", F.col("tag_ids").alias("_old"))
-    return model.where(F.col("tag_id").isNotNull()).join(old, "uid", "left").select(
-        "uid", lists.append_tag("_old", "tag_id").alias("tag_ids")
-    )
+    return _per_user(model).join(old, "uid", "left").select("uid", lists.append_tags("_old", "_add").alias("tag_ids"))
 
 
 def merge_replace(model: DataFrame, profile: DataFrame, siblings: Sequence[int]) -> DataFrame:
-    """As ``merge_append``, but earlier tags of the same family give way to the new one.
-
-    ``model`` has one row per user; ``merge_all`` takes any number.
-    """
+    """As ``merge_append``, but earlier tags of the same family give way to the new ones."""
     old = profile.select("uid", F.col("tag_ids").alias("_old"))
     family = lists.tag_array(siblings)
-    return model.where(F.col("tag_id").isNotNull()).join(old, "uid", "left").select(
-        "uid", lists.replace_siblings("_old", family, "tag_id").alias("tag_ids")
+    return _per_user(model).join(old, "uid", "left").select(
+        "uid", lists.replace_family("_old", family, "_add").alias("tag_ids")
     )
 
 
-def merge_all(results: Sequence[DataFrame], profile: DataFrame, families: Sequence[Sequence[int]]) -> DataFrame:
-    """Merge many model results in one pass and keep every user of either side.
+def merge_results(results: Sequence[tuple[int, DataFrame]], profile: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Merge the results of many runs in one pass and keep every user of either side.
+
+    ``results`` pairs the family of a run (its level-4 tag) with ``(uid, tag_id)``; ``definitions``
+    has ``tag_id, family``.  One rule for any size: for the users a run saw, the tags that the
+    definitions place in the run's family give way; then every tag of the run is added, also one
+    that the definitions do not know or place elsewhere.
 
-    ``families[i]`` holds all tags ``results[i]`` can give.  A family is only cleared for users
-    its model saw.  The profile is shuffled once no matter how many models ran (not at all if it
-    is bucketed by user); the gathered list of a user is bounded by the number of models.
+    Everything is joined by user.  Definitions only meet the old tags, by an inner join that Spark
+    broadcasts or splits by size; the lists gathered are a user's own tags.
     """
     fresh = None
-    for number, result in enumerate(results):
+    for family, result in results:
         rows = result.where(F.col("tag_id").isNotNull()).select(
-            "uid", F.lit(number).alias("_model"), F.col("tag_id").cast("bigint").alias("_tag")
+            "uid", F.lit(family).cast("bigint").alias("_family"), F.col("tag_id").cast("bigint").alias("_tag")
         )
         fresh = rows if fresh is None else fresh.unionByName(rows)
-    per_user = fresh.groupBy("uid").agg(
-        F.collect_set("_tag").alias("_add"), F.collect_set("_model").alias("_models")
-    )
-    family = F.array(*[lists.tag_array(f) for f in families])
-    dropped = F.flatten(F.transform("_models", lambda n: F.element_at(family, n + 1)))
-    none = F.array().cast(lists.EMPTY)
+    per_user = fresh.groupBy("uid").agg(F.collect_set("_tag").alias("_add"), F.collect_set("_family").alias("_families"))
+    asked = definitions.where(F.col("family").isin([family for family, _ in results])).select("tag_id", "family")
+    placed = profile.select("uid", F.explode("tag_ids").alias("tag_id")).join(asked, "tag_id")
+    held = placed.groupBy("uid").agg(F.collect_set(F.struct("tag_id", "family")).alias("_held"))
     old = profile.select("uid", F.col("tag_ids").alias("_old"))
-    joined = old.join(per_user, "uid", "full")
-    kept = F.array_except(F.coalesce("_old", none), F.coalesce(dropped, none))
-    merged = F.array_union(kept, F.coalesce("_add", none))
-    return joined.select("uid", F.array_sort(merged).alias("tag_ids"))
-
-
-def merge_by_family(results: DataFrame, profile: DataFrame, family: DataFrame) -> DataFrame:
-    """``merge_all`` for families too large for an expression: everything is a join.
-
-    ``results`` has ``uid, tag_id`` of any number of models, ``family`` has ``tag_id, family``.
-    """
-    new = results.select("uid", "tag_id").join(family, "tag_id")
-    seen = new.select("uid", "family").distinct()
-    old = profile.select("uid", F.explode_outer("tag_ids").alias("tag_id")).join(family, "tag_id", "left")
-    kept = old.join(seen, ["uid", "family"], "left_anti").select("uid", "tag_id")
-    together = kept.unionByName(new.select("uid", "tag_id"))
-    return together.groupBy("uid").agg(F.array_sort(F.collect_set("tag_id")).alias("tag_ids"))
+    joined = old.join(per_user, "uid", "full").join(held, "uid", "left")
+    none = F.array().cast(lists.EMPTY)
+    gone = F.transform(
+        F.filter("_held", lambda x: F.array_contains(F.col("_families"), x["family"])), lambda x: x["tag_id"]
+    )
+    kept = F.array_except(F.coalesce("_old", none), F.coalesce(gone, none))
+    return joined.select("uid", F.array_sort(F.array_union(kept, F.coalesce("_add", none))).alias("tag_ids"))
 
 
 def save_merged(merged: DataFrame, profile: DataFrame) -> DataFrame:

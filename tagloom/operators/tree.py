@@ -42,10 +42,16 @@ def leaf_closure(tags: DataFrame) -> DataFrame:
 
 
 def leaves_of(tags: DataFrame, tag_ids: list[int]) -> DataFrame:
-    """Level-5 tags below any of the given tags, each once."""
-    asked = F.array(*[F.lit(int(i)) for i in tag_ids]).cast("array<bigint>")
-    leaves = level_lineages(tags, DEPTH).where(F.arrays_overlap("line", asked))
-    return leaves.select(F.col("id").alias("leaf_id"))
+    """Level-5 tags below any of the given tags, each once: walks down from the asked tags only."""
+    asked = tags.where(F.col("id").isin(list(tag_ids))).select("id", "level")
+    found = asked.where(F.col("level") == DEPTH).select("id")
+    for level in range(1, DEPTH):
+        below = asked.where(F.col("level") == level).select("id")
+        for step in range(level, DEPTH):
+            parents = below.withColumnRenamed("id", "pid")
+            below = tags.where(F.col("level") == step + 1).join(parents, "pid", "left_semi").select("id")
+        found = found.unionByName(below)
+    return found.distinct().withColumnRenamed("id", "leaf_id")
 
 
 def paths(tags: DataFrame, name_part: str | None = None) -> DataFrame:
@@ -90,27 +96,3 @@ def outline(tags: DataFrame) -> DataFrame:
         F.count(F.when(at == depth - 1, 1)).alias("n_children"),
         F.count(F.when((depth == DEPTH) & (at <= DEPTH), 1)).alias("n_leaves"),
     )
-
-
-def nested(tags: DataFrame, max_children: int = 10_000) -> DataFrame:
-    """Roots with their children nested inside, for display of a small tree.
-
-    Fails when a node has more than ``max_children`` children; ``outline`` has no such limit.
-    """
-    widest = tags.groupBy("pid").count().agg(F.max("count")).first()[0] or 0
-    if widest > max_children:
-        raise ValueError(f"a tag has {widest} children; use outline()")
-    node = tags.select("id", "name", "level", "pid")
-    below = node.where(F.col("level") == DEPTH).select("pid", F.struct("id", "name").alias("node"))
-    for level in range(DEPTH - 1, 0, -1):
-        grouped = below.groupBy("pid").agg(
-            F.array_sort(F.collect_list("node")).alias("children")
-        )
-        here = node.where(F.col("level") == level).alias("n").join(
-            grouped.alias("g"), F.col("n.id") == F.col("g.pid"), "left"
-        )
-        below = here.select(
-            F.col("n.pid").alias("pid"),
-            F.struct(F.col("n.id"), F.col("n.name"), F.col("g.children")).alias("node"),
-        )
-    return below.select("node.*")

@@ -9,6 +9,7 @@ from tagloom.operators import clustering, learning
 from tagloom.operators.metrics import rfm_metrics, weak_label
 from tagloom.plans.book import query
 from tagloom.plans.datasets import LABEL_COLOURS, LABEL_PRODUCTS, RFM_COLUMNS, SQL_RFM, SQL_RFM_SCORES, Data
+from tagloom.plans.q_preparation import _hash
 from tagloom.plans.q_tags import coded, rfm_scores
 from tagloom.session import cut_lineage
 
@@ -92,11 +93,13 @@ def ml_kmeans_silhouette(d: Data):
     return d.small(rows, "k int, silhouette double, cluster_sizes string")
 
 
-@query("agg_cluster_sizes")
+@query("agg_cluster_sizes", f"""
+  WITH {SQL_RFM_SCORES} SELECT CAST(r_score - 1 AS INTEGER) AS prediction, count(*) AS n FROM rfm_scores GROUP BY 1
+""")
 def agg_cluster_sizes(d: Data):
-    vectors = embedded(d)
-    predicted = clustering.fit_kmeans(vectors, 10, 20).transform(vectors)
-    return predicted.groupBy("prediction").agg(F.count("*").alias("n"))
+    """Sizes of given clusters: the users by recency score."""
+    predicted = rfm_scores(d).select("uid", (F.col("r_score") - 1).cast("int").alias("prediction"))
+    return clustering.cluster_sizes(predicted)
 
 
 @query("ml_decision_tree")
@@ -108,8 +111,8 @@ def ml_decision_tree(d: Data):
     return model.transform(test.withColumnRenamed("raw", "features")).select("vec_id", "label", "prediction")
 
 
-@query("ml_fitted_stages")
-def ml_fitted_stages(d: Data):
+@query("ml_pipeline")
+def ml_pipeline(d: Data):
     """Assemble, index and classify as one chain; weighted accuracy on the items left out."""
     items = counted_items(d, folds=5)
     chain, _ = learning.tree_stages(TREE_COLUMNS, weight="weight", maxDepth=5, maxBins=32)
@@ -149,16 +152,19 @@ def ml_param_grid(d: Data):
     return d.small(rows, "depth int, impurity string, bins int, accuracy double")
 
 
-@query("ml_vector_index")
+@query("ml_vector_index", """
+  SELECT c_custkey AS uid, CAST(10 + 5 * (c_nationkey % 4) AS DOUBLE) AS code, CAST(c_nationkey % 4 AS DOUBLE) AS code_index,
+    c_acctbal AS balance, c_acctbal AS balance_index FROM customer
+""")
 def ml_vector_index(d: Data):
+    """A column of four values becomes an index, a column of many stays as it is."""
     from pyspark.ml.feature import VectorIndexer
 
-    scores = clustering.assembled(rfm_scores(d), RFM_COLUMNS, "raw")
-    indexed = VectorIndexer(inputCol="raw", outputCol="indexed", maxCategories=4).fit(scores).transform(scores)
-    return indexed.select(
-        "uid", F.array_join(vector_to_array("raw").cast("array<string>"), ",").alias("raw"),
-        F.array_join(vector_to_array("indexed").cast("array<string>"), ",").alias("indexed"),
-    )
+    users = d.users.select("uid", (F.lit(10) + F.col("nationality") % 4 * 5).cast("double").alias("code"), "balance")
+    raw = clustering.assembled(users, ["code", "balance"], "raw")
+    indexed = VectorIndexer(inputCol="raw", outputCol="indexed", maxCategories=4).fit(raw).transform(raw)
+    values = vector_to_array("indexed")
+    return indexed.select("uid", "code", values[0].alias("code_index"), "balance", values[1].alias("balance_index"))
 
 
 @query("ml_string_index", """
@@ -198,7 +204,15 @@ def ml_bisecting_kmeans(d: Data):
     return d.small(learning.bisecting_cost_by_k(vectors, range(2, 6), weight="weight"), "k int, cost double")
 
 
-@query("ml_naive_bayes")
+@query("ml_naive_bayes", f"""
+  WITH {SQL_RFM_SCORES}, x AS (
+    SELECT uid, CAST(length(c_mktsegment) % 3 AS DOUBLE) AS label, r_score AS r, f_score AS f, m_score AS m, {_hash("uid")} % 100 < 60 AS train
+    FROM rfm_scores JOIN customer ON c_custkey = uid),
+  t AS (SELECT label AS c, count(*) AS n, sum(r) AS r, sum(f) AS f, sum(m) AS m FROM x WHERE train GROUP BY label),
+  w AS (SELECT c, ln(n + 1) - ln(sum(n) OVER () + count(*) OVER ()) AS prior, ln(r + 1) - ln(r + f + m + 3) AS wr,
+    ln(f + 1) - ln(r + f + m + 3) AS wf, ln(m + 1) - ln(r + f + m + 3) AS wm FROM t)
+  SELECT uid, label, arg_max(c, prior + r * wr + f * wf + m * wm) AS prediction FROM x, w WHERE NOT train GROUP BY uid, label
+""")
 def ml_naive_bayes(d: Data):
     """60 % of the users train, the others are classified."""
     segments = d.users.select("uid", (F.length("gender") % 3).cast("double").alias("label"))
@@ -221,7 +235,10 @@ def ml_pca(d: Data):
     return projected.select("vec_id", *[values[i].alias(f"pc{i + 1}") for i in range(4)])
 
 
-@query("ml_random_split")
+@query("ml_random_split", f"""
+  WITH p AS (SELECT * FROM (VALUES (80), (70), (60)) v(percent))
+  SELECT CAST(percent AS INTEGER) AS percent, CASE WHEN {_hash("o_orderkey")} % 100 < percent THEN 'train' ELSE 'test' END AS part, o_orderkey FROM orders, p
+""")
 def ml_random_split(d: Data):
     out = None
     for percent in (80, 70, 60):

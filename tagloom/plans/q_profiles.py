@@ -9,6 +9,7 @@ from tagloom.plans.book import query
 from tagloom.plans.datasets import (
     PART_BASE, SQL_CYCLE, SQL_PAY, SQL_PROFILE_ROWS, SQL_TAGS, Data,
 )
+from tagloom.plans.registry import definitions
 from tagloom.sources.keyed import read_version, write_version
 
 _LISTED = "string_agg(CAST(tag_id AS VARCHAR), ',' ORDER BY tag_id)"
@@ -90,6 +91,16 @@ def prf_audience_all(d: Data):
     return audience.audience_all(d.profile, [333], [1], d.combined)
 
 
+@query("prf_audience_page", f"""
+  WITH {SQL_PROFILE_ROWS}, u AS (SELECT uid FROM profile_rows WHERE tag_id IN (319, 334) GROUP BY uid HAVING count(DISTINCT tag_id) = 2)
+  SELECT uid FROM u WHERE uid > (SELECT min(uid) FROM u) ORDER BY uid LIMIT 10
+""")
+def prf_audience_page(d: Data):
+    """The page after a user, here after the first one."""
+    first = audience.audience_all(d.profile, [319, 334], size=1).first()
+    return audience.audience_all(d.profile, [319, 334], after=first["uid"] if first else None, size=10)
+
+
 @query("prf_audience_all_basic", f"""
   WITH {SQL_PROFILE_ROWS} SELECT uid FROM profile_rows WHERE tag_id IN (319, 334) GROUP BY uid HAVING count(DISTINCT tag_id) = 2
 """)
@@ -234,7 +245,7 @@ def prf_lookup_user(d: Data):
 
 @query("prf_merge_families", f"""
   WITH {SQL_PROFILE_ROWS}, {SQL_CYCLE},
-  bought AS (SELECT DISTINCT o_custkey AS uid, 1000000 + l_partkey AS tag_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_quantity >= 50),
+  bought AS (SELECT DISTINCT o_custkey AS uid, 1000000 + l_partkey AS tag_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
   merged AS (
     SELECT p.uid, p.tag_id FROM profile_rows p
     WHERE NOT (p.tag_id BETWEEN 348 AND 355 AND p.uid IN (SELECT uid FROM cycle))
@@ -242,10 +253,9 @@ def prf_lookup_user(d: Data):
   SELECT CAST(uid AS VARCHAR) AS user_id, {_LISTED} AS tag_ids FROM merged GROUP BY uid
 """)
 def prf_merge_families(d: Data):
-    """The join-based merge, with the product branch of the tree as large families."""
-    bought = d.table("lineitem").where("l_quantity >= 50").join(
+    """Every part a user bought as a tag: many tags a user, and a family as large as the part table."""
+    bought = d.table("lineitem").join(
         d.orders.select("order_id", "uid"), F.col("l_orderkey") == F.col("order_id")
     ).select("uid", (F.lit(PART_BASE) + F.col("l_partkey")).alias("tag_id")).distinct()
-    family = d.tags.where("level = 5").select(F.col("id").alias("tag_id"), F.col("pid").alias("family"))
-    results = bought.unionByName(_cycle(d))
-    return profiles.render_profile(profiles.merge_by_family(results, d.profile, family))
+    results = [(347, _cycle(d)), (PART_BASE - 1, bought)]
+    return profiles.render_profile(profiles.merge_results(results, d.profile, definitions(d.tags)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import functions as F
 
+from tagloom.functions import bins
 from tagloom.operators import clustering, metrics, tagging
 from tagloom.operators.joins import lookup_default
 from tagloom.operators.profiles import render_profile
@@ -107,10 +108,84 @@ def rfe_scores_query(d: Data):
     return rfe_scores(d)
 
 
+def _published(name: str, value: str, cases: list[tuple[str, int]], strict: list[tuple[str, int]]) -> str:
+    """A score by the published ranges, without gaps and taken literally."""
+    closed = " ".join(f"WHEN {test.format(value)} THEN {score}" for test, score in cases[:-1])
+    exact = " ".join(f"WHEN {test.format(value)} THEN {score}" for test, score in strict)
+    return f"CAST(CASE {closed} ELSE {cases[-1][1]} END AS DOUBLE) AS {name}, CAST(CASE {exact} END AS DOUBLE) AS {name}_strict"
+
+
+def _steps(order: str, cuts: list[int], scores: list[int]) -> list[tuple[str, int]]:
+    return [(f"{{0}} {order} {cut}", score) for cut, score in zip(cuts, scores)] + [("", scores[-1])]
+
+
+def _ranges(*rows: tuple[str, int]) -> list[tuple[str, int]]:
+    return [(f"{{0}} {test}", score) for test, score in rows]
+
+
+@query("rfm_scores_published", f"""
+  WITH {SQL_RFM}, x AS (SELECT uid, recency // 25 AS r, frequency * 15 AS f, monetary / 20 AS m FROM rfm)
+  SELECT uid,
+    {_published("r_score", "r", _steps("<=", [3, 6, 9, 15], [5, 4, 3, 2, 1]),
+        _ranges(("BETWEEN 1 AND 3", 5), ("BETWEEN 4 AND 6", 4), ("BETWEEN 7 AND 9", 3), ("BETWEEN 10 AND 15", 2), ("> 16", 1)))},
+    {_published("f_score", "f", _steps(">=", [200, 150, 100, 50], [5, 4, 3, 2, 1]),
+        _ranges(("BETWEEN 1 AND 49", 1), ("BETWEEN 50 AND 99", 2), ("BETWEEN 100 AND 149", 3), ("BETWEEN 150 AND 199", 4), (">= 200", 5)))},
+    {_published("m_score", "m", _steps(">=", [200000, 100000, 50000, 10000], [5, 4, 3, 2, 1]),
+        _ranges(("< 10000", 1), ("BETWEEN 10000 AND 49999", 2), ("BETWEEN 50000 AND 99999", 3), ("BETWEEN 100000 AND 199999", 4), (">= 200000", 5)))}
+  FROM x
+""")
+def rfm_scores_published(d: Data):
+    """The published ranges, closed and literal; measures are scaled so that every range has users."""
+    rfm = metrics.rfm_metrics(d.orders, d.orders_as_of, scale=2).select(
+        "uid", F.floor(F.col("recency") / 25).alias("recency"), (F.col("frequency") * 15).alias("frequency"),
+        (F.col("monetary").cast("double") / 20).alias("monetary"),
+    )
+    return _both(metrics.rfm_scores, rfm, ["r_score", "f_score", "m_score"])
+
+
+def _both(score, measured, columns):
+    strict = score(measured, strict=True).select("uid", *[F.col(c).alias(f"{c}_strict") for c in columns])
+    return score(measured).join(strict, "uid")
+
+
+def _rfe_published_sql(e_below: str, first: str, last: str) -> str:
+    return f"""
+  WITH {SQL_RFE}, x AS (SELECT uid, recency * 9 + CAST(uid % 70 AS INTEGER) AS r, frequency * 5 AS f, engagements * 3 AS e FROM rfe)
+  SELECT uid,
+    {_published("r_score", "r", _steps("<=", [15, 30, 45, 60], [5, 4, 3, 2, 1]),
+        _ranges((first, 5), ("BETWEEN 16 AND 30", 4), ("BETWEEN 31 AND 45", 3), ("BETWEEN 46 AND 60", 2), (last, 1)))},
+    {_published("f_score", "f", _steps(">=", [400, 300, 200, 100], [5, 4, 3, 2, 1]),
+        _ranges(("<= 99", 1), ("BETWEEN 100 AND 199", 2), ("BETWEEN 200 AND 299", 3), ("BETWEEN 300 AND 399", 4), (">= 400", 5)))},
+    {_published("e_score", "e", _steps(">=", [250, 200, 150, 50], [5, 4, 3, 2, 1]),
+        _ranges((e_below, 1), ("BETWEEN 50 AND 149", 2), ("BETWEEN 150 AND 199", 3), ("BETWEEN 200 AND 249", 4), (">= 250", 5)))}
+  FROM x"""
+
+
+def _rfe_scaled(d: Data):
+    return metrics.rfe_metrics(d.visits, d.events_as_of).select(
+        "uid", (F.col("recency") * 9 + F.col("uid") % 70).cast("int").alias("recency"), (F.col("frequency") * 5).alias("frequency"),
+        (F.col("engagements") * 3).alias("engagements"),
+    )
+
+
+@query("rfe_scores_published", _rfe_published_sql("<= 49", "BETWEEN 0 AND 15", "> 61"))
+def rfe_scores_published(d: Data):
+    return _both(metrics.rfe_scores, _rfe_scaled(d), ["r_score", "f_score", "e_score"])
+
+
+@query("rfe_scores_published_second", _rfe_published_sql("< 49", "BETWEEN 1 AND 15", ">= 61"))
+def rfe_scores_published_second(d: Data):
+    """The second version of the activity ranges."""
+    def score(measured, strict=False):
+        return metrics.rfe_scores(measured, bins.RFE_RECENCY_FROM_ONE, engagements=bins.RFE_ENGAGEMENTS_BELOW_49, strict=strict)
+
+    return _both(score, _rfe_scaled(d), ["r_score", "f_score", "e_score"])
+
+
 @query("rfe_bean_score", """
   WITH d AS (
     SELECT user_id AS uid, CAST(date_diff('day', CAST(max(ts) AS DATE), (SELECT CAST(max(ts) AS DATE) + 1 FROM events)) AS INTEGER) AS r,
-      count(*) AS f, count(DISTINCT event_type) AS e FROM events WHERE event_type <> 'error' GROUP BY user_id),
+      count(*) AS f, count(DISTINCT event_type) AS e FROM events GROUP BY user_id),
   s AS (
     SELECT uid, CAST(CASE WHEN r <= 1 THEN 6 WHEN r <= 3 THEN 5 WHEN r <= 5 THEN 4 WHEN r <= 7 THEN 3 WHEN r <= 14 THEN 2 ELSE 1 END AS DOUBLE) AS r_score,
       CAST(CASE WHEN f >= 10 THEN 6 WHEN f >= 8 THEN 5 WHEN f >= 6 THEN 4 WHEN f >= 4 THEN 3 WHEN f >= 2 THEN 2 ELSE 1 END AS DOUBLE) AS f_score,
@@ -118,7 +193,7 @@ def rfe_scores_query(d: Data):
   SELECT *, r_score + f_score + e_score AS score FROM s
 """)
 def rfe_bean_score(d: Data):
-    visits = d.table("events").where("event_type <> 'error'").select(
+    visits = d.table("events").select(
         F.col("user_id").alias("uid"), F.col("ts").alias("log_time"), F.col("event_type").alias("url")
     )
     return metrics.rfe_bean_scores(metrics.rfe_metrics(visits, d.events_as_of))
@@ -246,10 +321,33 @@ def tag_cluster_assign(d: Data):
     return clustering.cluster_tags(predicted, d.small(_RANKS, "prediction int, rank int"), rules(d, 361))
 
 
-@query("srt_cluster_rank")
+# The centres of five clusters, two with equal sums.
+_CENTRES = [(1.0, 4.0, 3.0), (3.002, 3.0, 3.0), (1.0, 5.0, 5.0), (1.0, 3.0, 3.0), (2.0, 3.0, 3.0)]
+
+
+def _rank_sql(order: str) -> str:
+    rows = ", ".join(f"({i}, {c[0]}, {c[1]}, {c[2]})" for i, c in enumerate(_CENTRES))
+    return f"""
+  WITH {SQL_RFM_SCORES}, centres(i, r, f, m) AS (VALUES {rows}),
+  ranked AS (SELECT i, row_number() OVER (ORDER BY CAST(r AS DOUBLE) + f + m {order}, i) - 1 AS rank FROM centres)
+  SELECT uid, CAST(rank AS INTEGER) AS rank FROM rfm_scores JOIN ranked ON i = CAST(r_score AS INTEGER) - 1"""
+
+
+def _by_rank(d: Data, descending: bool):
+    ranks = clustering.ranked_centres(d.spark, _CENTRES, descending).select("prediction", "rank")
+    predicted = rfm_scores(d).select("uid", (F.col("r_score") - 1).cast("int").alias("prediction"))
+    return predicted.join(ranks, "prediction").select("uid", "rank")
+
+
+@query("srt_cluster_rank", _rank_sql("DESC"))
 def srt_cluster_rank(d: Data):
-    vectors = clustering.cluster_vectors(rfm_scores(d), RFM_COLUMNS)
-    return clustering.ranked_clusters(clustering.fit_kmeans(vectors, 5, weight="weight"), vectors)
+    """Users of given clusters by the rank of the cluster's centre."""
+    return _by_rank(d, True)
+
+
+@query("srt_cluster_rank_ascending", _rank_sql("ASC"))
+def srt_cluster_rank_ascending(d: Data):
+    return _by_rank(d, False)
 
 
 def register_standard_models(d: Data) -> None:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +12,6 @@ from tagloom.operators import profiles
 from tagloom.operators.tagging import level5_rules
 from tagloom.sources.readers import open_source, tag_rule
 
-# Families up to this size are written into the merge expression; larger ones are joined.
-MOST_SIBLINGS = 1_000
-
 Model = Callable[[DataFrame, DataFrame], DataFrame]
 
 _models: dict[str, Model] = {}
@@ -50,21 +46,14 @@ def model_result(
     return model(run.model)(business, level5_rules(tags, run.tag_id))
 
 
-def siblings(tags: DataFrame, tag_id: int, most: int = MOST_SIBLINGS) -> list[int] | None:
-    """Attribute ids below a level-4 tag, or None when there are more than ``most``."""
-    rows = level5_rules(tags, tag_id).select("tag_id").limit(most + 1).collect()
-    return sorted(r["tag_id"] for r in rows) if len(rows) <= most else None
+def definitions(tags: DataFrame) -> DataFrame:
+    """``tag_id, family``: every attribute with the level-4 tag it belongs to."""
+    return tags.where("level = 5").select(F.col("id").alias("tag_id"), F.col("pid").alias("family"))
 
 
 def run_models(
-    spark: SparkSession, tags: DataFrame, runs: list[Run], profile: DataFrame,
-    as_of: Column | None = None, most_siblings: int = MOST_SIBLINGS,
+    spark: SparkSession, tags: DataFrame, runs: list[Run], profile: DataFrame, as_of: Column | None = None,
 ) -> DataFrame:
     """The next profile table after running all models; errors are not swallowed."""
-    results = [model_result(spark, tags, run, as_of) for run in runs]
-    families = [siblings(tags, run.tag_id, most_siblings) for run in runs]
-    if None not in families:
-        return profiles.merge_all(results, profile, families)
-    together = reduce(DataFrame.unionByName, [r.select("uid", "tag_id") for r in results])
-    family = tags.where("level = 5").select(F.col("id").alias("tag_id"), F.col("pid").alias("family"))
-    return profiles.merge_by_family(together, profile, family)
+    results = [(run.tag_id, model_result(spark, tags, run, as_of)) for run in runs]
+    return profiles.merge_results(results, profile, definitions(tags))

@@ -52,27 +52,55 @@ def test_one_pass_equals_one_model_after_another(table):
     profile = profiles.load_profile(profile)
     frames = [table(r, "uid bigint, tag_id bigint") for r in results]
     expected = _reference_merge(old, results, families)
-    merged = profiles.merge_all(frames, profile, families)
-    assert {r["uid"]: r["tag_ids"] for r in merged.collect()} == expected
     family = table([(t, i) for i, f in enumerate(families) for t in f], "tag_id bigint, family bigint")
-    together = frames[0].unionByName(frames[1]).unionByName(frames[2])
-    joined = profiles.merge_by_family(together, profile, family)
-    assert {r["uid"]: r["tag_ids"] for r in joined.collect()} == expected
+    merged = profiles.merge_results(list(enumerate(frames)), profile, family)
+    assert {r["uid"]: r["tag_ids"] for r in merged.collect()} == expected
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_unknown_foreign_and_repeated_tags(spark, table, broadcast):
+    """What a run gives is added, whatever the definitions say; only the run's own family gives way."""
+    profile = table([(1, [10, 20]), (2, [10]), (3, None), (4, [])], "uid bigint, tag_ids array<bigint>")
+    family = table([(10, 1), (11, 1), (20, 2), (21, 2)], "tag_id bigint, family bigint")
+    first = table([(1, 11), (1, 777), (1, 11), (2, 21), (5, 10), (3, None)], "uid bigint, tag_id bigint")
+    second = table([(2, 10)], "uid bigint, tag_id bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = {r["uid"]: r["tag_ids"] for r in profiles.merge_results([(1, first), (2, second)], profile, family).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {1: [11, 20, 777], 2: [10, 21], 3: [], 4: [], 5: [10]}
+
+
+def test_a_user_with_several_new_tags_is_one_row(table):
+    profile = table([(1, [10, 20])], "uid bigint, tag_ids array<bigint>")
+    model = table([(1, 12), (1, 11), (1, 12), (2, 11)], "uid bigint, tag_id bigint")
+    assert shown(profiles.merge_append(model, profile)) == [("1", "10,20,11,12"), ("2", "11")]
+    assert shown(profiles.merge_replace(model, profile, [10, 11, 12])) == [("1", "11,12,20"), ("2", "11,12")]
+
+
+def test_a_bad_tag_id_ends_the_load(table):
+    from pyspark.errors import PySparkException
+
+    assert profiles.load_profile(table([(1, " 5, ,7,")], "user_id bigint, tag_ids string")).first()["tag_ids"] == [5, 7]
+    for text in ("319,abc", "99999999999999999999"):
+        with pytest.raises(PySparkException):
+            profiles.load_profile(table([(1, text)], "user_id bigint, tag_ids string")).collect()
 
 
 def test_a_result_without_a_tag_changes_nothing(table, profile):
     model = table([(1, None), (2, 349)], "uid bigint, tag_id bigint")
     family = table([(t, 347) for t in range(348, 356)], "tag_id bigint, family bigint")
     expected = [("1", "319,322,329,333,354"), ("2", "320,349"), ("3", "")]
-    assert shown(profiles.merge_all([model], profile, [range(348, 356)])) == expected
-    assert shown(profiles.merge_by_family(model, profile, family)) == expected
+    assert shown(profiles.merge_results([(347, model)], profile, family)) == expected
     assert shown(profiles.save_merged(profiles.merge_replace(model, profile, range(348, 356)), profile)) == expected
 
 
 def test_family_merge_keeps_users_without_tags(table, profile):
     family = table([(348, 347)], "tag_id bigint, family bigint")
     none = table([], "uid bigint, tag_id bigint")
-    got = {r["uid"]: r["tag_ids"] for r in profiles.merge_by_family(none, profile, family).collect()}
+    got = {r["uid"]: r["tag_ids"] for r in profiles.merge_results([(347, none)], profile, family).collect()}
     assert got[3] == [] and got[2] == [320, 348]
 
 
@@ -104,16 +132,6 @@ def test_outline_is_depth_first(tags):
     assert by_id[1] == (1, 1, 4) and by_id[4] == (3, 2, 2) and by_id[30] == (4, 0, 0) and by_id[21] == (5, 0, 1)
 
 
-def test_nested_tree(tags):
-    root = tree.nested(tags).collect()
-    assert len(root) == 1 and root[0]["name"] == "root"
-    people, money = root[0]["children"][0]["children"]
-    assert [c["name"] for c in people["children"][0]["children"]] == ["male", "female"]
-    assert money["children"][1]["children"] is None
-    with pytest.raises(ValueError):
-        tree.nested(tags, max_children=1)
-
-
 COMBINED = [(1, 1, 97, "or"), (1, 2, 98, "and"), (1, 3, 132, "or"), (1, 4, 133, "and"), (1, 5, 214, "and"), (2, 1, 55, "and")]
 
 
@@ -195,8 +213,6 @@ def test_model_runs(spark, table, tags, profile):
     run = [registry.Run(10, "test_gender")]
     inline = registry.run_models(spark, real, run, profile)
     assert shown(inline) == [("1", "11,319,322,329,333,354"), ("2", "320,348"), ("3", ""), ("9", "12")]
-    joined = registry.run_models(spark, real, run, profile, most_siblings=1)
-    assert shown(joined) == shown(inline)
     assert rows(level5_rules(real, 10)) == [(11, "1"), (12, "2")]
     with pytest.raises(LookupError):
         registry.run_models(spark, real, [registry.Run(10, "unknown")], profile)
