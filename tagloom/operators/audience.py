@@ -136,16 +136,17 @@ def examples(profile: DataFrame, n: int = 5) -> DataFrame:
 def portraits(profile: DataFrame, tags: DataFrame) -> DataFrame:
     """Each user's tags spread over the tree: distinct ``(uid, level, id, pid, path)`` rows.
 
-    Only ``(uid, id)`` pairs are made distinct; what an id stands for is joined afterwards.
+    A user's lines are made distinct inside the user's row; what an id stands for is joined afterwards.
     """
     lines = cut_lineage(lineages(tags).select("id", "line", "names"), "lineages")
-    upward = lines.select(F.col("id").alias("tag_id"), F.explode("line").alias("id"))
+    upward = lines.select(F.col("id").alias("tag_id"), "line")
     parent = F.when(F.size("line") > 1, F.element_at("line", -2)).otherwise(F.lit(-1))
     named = lines.select(
         "id", F.size("line").alias("level"), parent.alias("pid"),
         F.array_join("names", PATH_SEPARATOR).alias("path"),
     )
-    pairs = exploded(profile).join(upward, "tag_id").select("uid", "id").distinct()
+    held = exploded(profile).join(upward, "tag_id").groupBy("uid").agg(F.array_distinct(F.flatten(F.collect_list("line"))).alias("ids"))
+    pairs = held.select("uid", F.explode("ids").alias("id"))
     return pairs.join(named, "id").select("uid", "level", "id", "pid", "path")
 
 

@@ -144,19 +144,27 @@ def cluster_vectors(scores: DataFrame, columns: Sequence[str], scale: bool = Fal
 def score_cluster_tag(
     scores: DataFrame, columns: Sequence[str], rules: DataFrame, k: int, max_iter: int = 10,
     scale: bool = False, make_model: Callable[[DataFrame], KMeansModel] | None = None,
+    keep: Callable[[Callable[[], PipelineModel]], PipelineModel] | None = None, compress: bool = True,
 ) -> DataFrame:
     """Scores -> clusters -> ranked clusters -> tags.
 
     Scores are written once, so that training and prediction do not both go back to the business
-    data.  ``make_model`` replaces the plain fit, for instance by a stored model.
+    data.  ``make_model`` replaces the plain fit.  ``keep`` takes the training of the whole chain,
+    scaling included, and may return a stored one instead.  Without ``compress`` every user trains
+    as a vector of its own, which is right for continuous scores that hardly ever repeat.
     """
     kept = cut_lineage(scores.select("uid", *columns), "scores")
-    grouped = cut_lineage(score_vectors(kept, columns), "vectors")
-    steps = feature_steps(grouped, columns, scale)
-    vectors = steps.transform(grouped)
-    model = make_model(vectors) if make_model else fit_kmeans(vectors, k, max_iter, weight="weight")
-    predicted = model.transform(steps.transform(kept)).select("uid", "prediction")
-    return cluster_tags(predicted, ranked_clusters(model, kept), rules)
+
+    def train() -> PipelineModel:
+        grouped = cut_lineage(score_vectors(kept, columns), "vectors") if compress else kept.withColumn("weight", F.lit(1.0))
+        steps = feature_steps(grouped, columns, scale)
+        vectors = steps.transform(grouped)
+        model = make_model(vectors) if make_model else fit_kmeans(vectors, k, max_iter, weight="weight")
+        return PipelineModel(stages=[*steps.stages, model])
+
+    chain = keep(train) if keep else train()
+    predicted = chain.transform(kept).select("uid", "prediction")
+    return cluster_tags(predicted, ranked_clusters(chain.stages[-1], kept), rules)
 
 
 def cluster_bounds(scored: DataFrame, columns: Sequence[str], cluster: str = "prediction") -> DataFrame:

@@ -34,17 +34,17 @@ def match_ranges(
     df: DataFrame, value: str, rules: DataFrame, lo: str = "lo", hi: str = "hi",
     tag: str = "tag_id",
 ) -> DataFrame:
-    """Add ``tag`` to the rows whose ``value`` lies in ``[lo, hi]`` of a rule; others are dropped."""
+    """Add ``tag`` to the rows whose ``value`` lies in ``[lo, hi]`` of a rule; others are dropped.
+
+    An equi-join on grid cells at any number of rules; a few rules are a local relation, which Spark
+    broadcasts.
+    """
     wanted = rules.select(
         F.col(lo).cast("bigint").alias("_lo"), F.col(hi).cast("bigint").alias("_hi"),
         F.col(tag).alias("_tag"),
     )
     small = small_copy(wanted)
-    if small is not None:
-        inside = df[value].between(small["_lo"], small["_hi"])
-        joined = df.join(F.broadcast(small), inside)
-        return joined.withColumn(tag, F.col("_tag")).drop("_lo", "_hi", "_tag")
-    joined = interval_lookup(df, value, wanted, "_lo", "_hi", how="inner")
+    joined = interval_lookup(df, value, small or wanted, "_lo", "_hi", how="inner", salts=1 if small else 8)
     return joined.withColumn(tag, F.col("_tag")).drop("_lo", "_hi", "_tag")
 
 

@@ -65,8 +65,12 @@ def pay_type_tag(orders: DataFrame, rules: DataFrame, code: str = "pay_code") ->
 
 def gender_share_tag(items: DataFrame, rules: DataFrame, label: str = "label") -> DataFrame:
     """Shopping gender from labelled (or predicted) items."""
-    shares = usg_shares(items, label=label)
-    named = shares.select("uid", gender_by_share(F.col("total"), F.col("male"), F.col("female")).alias("_class"))
+    return gender_counts_tag(usg_shares(items, label=label), rules)
+
+
+def gender_counts_tag(counts: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same from ``uid, total, male, female``."""
+    named = counts.select("uid", gender_by_share(F.col("total"), F.col("male"), F.col("female")).alias("_class"))
     return match_tag(named, "_class", rules)
 
 
@@ -96,5 +100,4 @@ def gender_model_tag(
         F.sum(F.when(F.col("prediction") == 0, F.col("weight")).otherwise(0)).alias("male"),
         F.sum(F.when(F.col("prediction") == 1, F.col("weight")).otherwise(0)).alias("female"),
     )
-    named = shares.select("uid", gender_by_share(F.col("total"), F.col("male"), F.col("female")).alias("_class"))
-    return match_tag(named, "_class", rules)
+    return gender_counts_tag(shares, rules)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tagloom.functions import bins
@@ -247,7 +247,13 @@ def usg_features(d: Data):
   SELECT uid, CAST(CASE WHEN male >= 0.6 THEN 379 WHEN female >= 0.6 THEN 380 ELSE 381 END AS BIGINT) AS tag_id FROM s
 """)
 def tag_usg_rule(d: Data):
-    return tagging.gender_share_tag(usg_items(d), rules(d, 378))
+    """Labels come straight from the names; lines are counted per order before orders are joined."""
+    labelled = d.lines.select("order_id", metrics.weak_label("colour", "product", LABEL_COLOURS, LABEL_PRODUCTS).alias("label"))
+    per_order = metrics.usg_shares(labelled, user="order_id")
+    per_user = per_order.join(d.orders.select("order_id", "uid"), "order_id").groupBy("uid").agg(
+        *[F.sum(c).alias(c) for c in ("total", "male", "female")]
+    )
+    return tagging.gender_counts_tag(per_user, rules(d, 378))
 
 
 @query("tag_usg_model")
@@ -275,18 +281,16 @@ def tag_rfm_value(d: Data):
 
 @query("tag_rfm_value_scaled")
 def tag_rfm_value_scaled(d: Data):
-    """Min-max scaled scores, best of several iteration limits, model kept and loaded again."""
+    """Min-max scaled scores, best of several iteration limits, chain with its scaler kept and loaded again."""
     path = d.folder_for("rfm-model")
 
-    def stored(vectors):
-        def train():
-            return clustering.best_by_iterations(vectors, 5, weight="weight")[0]
-
-        load_or_train(d.spark, path, KMeansModel, train)
-        return load_or_train(d.spark, path, KMeansModel, train)
+    def stored(train):
+        load_or_train(d.spark, path, PipelineModel, train)
+        return load_or_train(d.spark, path, PipelineModel, train)
 
     return clustering.score_cluster_tag(
-        rfm_scores(d), RFM_COLUMNS, rules(d, 361), k=5, scale=True, make_model=stored
+        rfm_scores(d), RFM_COLUMNS, rules(d, 361), k=5, scale=True, keep=stored,
+        make_model=lambda vectors: clustering.best_by_iterations(vectors, 5, weight="weight")[0],
     )
 
 
@@ -304,7 +308,7 @@ def tag_rfe_activity(d: Data):
 @query("tag_psm_sensitivity")
 def tag_psm_sensitivity(d: Data):
     scores = metrics.psm_scores(d.orders_with_coupons).select("uid", "psm_score")
-    return clustering.score_cluster_tag(scores, ["psm_score"], rules(d, 372), k=5)
+    return clustering.score_cluster_tag(scores, ["psm_score"], rules(d, 372), k=5, compress=False)
 
 
 # A ranking of five clusters.

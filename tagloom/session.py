@@ -60,8 +60,22 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A path below the shared root that no other run uses."""
-    return f"{shared_root(spark)}/tagloom/{purpose}-{uuid.uuid4().hex}"
+    """A path below the shared root that no other run uses; ``release`` removes those of an application."""
+    return f"{_run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tagloom/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application wrote below the shared root; call it when its results are stored."""
+    remove_path(spark, _run_folder(spark))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame, purpose: str = "step") -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.session import path_exists
+from tagloom.session import path_exists, remove_path
 from tagloom.small import small_table
 from tagloom.sources.keyed import latest_per_key, read_version, versions
 
@@ -21,6 +21,9 @@ CHANGE = "uid bigint, seq bigint, op string, tag_ids array<bigint>"
 
 def _write_delta(root: str):
     def write(batch: DataFrame, batch_id: int) -> None:
+        folded = _folded(batch.sparkSession, root)
+        if batch_id < folded - 1:  # the last folded batch may run again, an older one cannot
+            raise RuntimeError(f"batch {batch_id} after batch {folded - 1} was folded: the progress folder was lost")
         last = latest_per_key(batch, "uid", ["seq"])
         last.write.mode("overwrite").parquet(f"{root}/delta/batch={batch_id}")
 
@@ -71,12 +74,21 @@ def current_profiles(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str) -> int:
-    """Fold all deltas into a new base, numbered one above the last batch in it.
+    """Fold all deltas into a new base, numbered one above the last batch in it, and remove them.
 
     Run it while no batch is being written.  Tombstones stay in the base, so that an older change
-    arriving late cannot bring a user back.
+    arriving late cannot bring a user back.  Without a new batch nothing is written.  A failed write
+    leaves the old base and all deltas; deltas go only once the new base is complete.
     """
-    last = spark.read.schema(f"{CHANGE}, batch bigint").parquet(f"{root}/delta").agg(F.max("batch"))
-    number = last.first()[0] + 1
+    folded = _folded(spark, root)
+    if not path_exists(spark, f"{root}/delta"):
+        return folded
+    batches = [r["batch"] for r in spark.read.schema(f"{CHANGE}, batch bigint").parquet(f"{root}/delta").select("batch").distinct().collect()]
+    new = [b for b in batches if b >= folded]
+    if not new:
+        return folded
+    number = max(new) + 1
     current_changes(spark, root).write.mode("overwrite").parquet(f"{root}/base/v={number}")
+    for batch in batches:
+        remove_path(spark, f"{root}/delta/batch={batch}")
     return number

@@ -227,5 +227,17 @@ def test_append_compares_whole_ids(table):
 
 
 def test_split_list_drops_blanks(table):
-    df = table([(" 1, ,2,x,",)], "t string")
+    df = table([(" 1, ,2,,",)], "t string")
     assert one(df, lists.split_list("t")) == [1, 2]
+
+
+def test_dirty_dates_are_null(table):
+    df = table([("1990/01/01", "bad", "2020-01-01 10:00:00")], "d string, t string, g string")
+    as_of = F.lit("2020-01-03").cast("date")
+    assert one(df, dates.date_digits("d")) is None
+    assert one(df, dates.days_since("t", as_of)) is None and one(df, dates.days_since("g", as_of)) == 2
+
+
+def test_rule_columns_agree_with_rule_texts(table):
+    text = "a=1\nb = x=y \na=2\nno pair\n"
+    assert one(table([(text,)], "rule string"), rules.rule_params("rule")) == rules.parse_rule(text) == {"a": "2", "b": "x=y"}

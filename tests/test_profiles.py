@@ -75,9 +75,9 @@ def test_unknown_foreign_and_repeated_tags(spark, table, broadcast):
 
 def test_a_user_with_several_new_tags_is_one_row(table):
     profile = table([(1, [10, 20])], "uid bigint, tag_ids array<bigint>")
-    model = table([(1, 12), (1, 11), (1, 12), (2, 11)], "uid bigint, tag_id bigint")
+    model = table([(1, 12), (1, 11), (1, 12), (2, 11), (2, None)], "uid bigint, tag_id bigint")
     assert shown(profiles.merge_append(model, profile)) == [("1", "10,20,11,12"), ("2", "11")]
-    assert shown(profiles.merge_replace(model, profile, [10, 11, 12])) == [("1", "11,12,20"), ("2", "11,12")]
+    assert shown(profiles.merge_replace(model, profile, [10, 11, 12])) == [("1", "11,12,20"), ("2", "11")]
 
 
 def test_a_bad_tag_id_ends_the_load(table):

@@ -70,9 +70,20 @@ def test_whole_profile_is_tested_without_a_shuffle(spark):
     assert "Exchange" not in plan_text(audience.audience_all(Data(spark, SMALL).profile, [333, 319]))
 
 
-def test_model_run_shuffles_once_per_side(spark):
+def test_model_run_shuffles_by_user_only(spark):
     plan = plan_text(run("tag_model_run", spark, SMALL))
-    assert plan.count("Arguments: hashpartitioning") <= 2
+    dealt = [line for line in plan.splitlines() if "Arguments: hashpartitioning" in line]
+    assert len(dealt) <= 4 and all("hashpartitioning(uid#" in line for line in dealt)
+
+
+def test_gender_rule_joins_orders_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(run("tag_usg_rule", spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.split("Initial Plan")[0].count("SortMergeJoin") <= 2 * 3  # parts, orders and rules; each is listed in the tree and by itself
 
 
 QUIET = ("ml_", "tag_rfm", "tag_rfe", "tag_psm", "tag_usg_model", "stm_", "sink_", "srt_cluster", "agg_cluster")
