@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.vectors import slices
+
 #: Words whose merges a task remembers, and the length up to which it does.
 REMEMBERED = 200_000
 REMEMBERED_BYTES = 64
-#: Rows that a task works on at once.
-SLICE_ROWS = 256
 _LONG = 128
 
 
@@ -83,18 +83,12 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(start, SLICE_ROWS)
-
-
 def _encoding(ranks: dict[bytes, int]):
     """Adds each row's ids, from its words: a slice's distinct words are folded, then taken by row."""
     held: dict[bytes, np.ndarray] = {}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             words = batch.column(batch.num_columns - 1)
             coded = words.flatten().cast(pa.large_binary()).dictionary_encode()
             if isinstance(coded, pa.ChunkedArray):
@@ -159,7 +153,7 @@ def _decoding(ranks: dict[bytes, int]):
     pieces = _pieces(ranks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             texts = [b"".join([pieces[i] for i in ids]) for ids in _rows(batch.column(batch.num_columns - 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
 

@@ -1,13 +1,26 @@
-"""Vectors between Spark and numpy."""
+"""Arrow batches and vectors between Spark and numpy."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of texts that a task works on at once.
+SLICE_ROWS = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``SLICE_ROWS`` rows, which bounds what a task makes of them at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def usable(vector: Column) -> Column:
     """True unless ``vector`` is null or holds a null or non-finite component."""
     return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))), F.lit(False))
