@@ -117,6 +117,15 @@ def flt_multi_and(d: Data):
     return matching_keys(d.table("orders"), "o_custkey", test)
 
 
+@query("flt_multi_and_first", """
+  SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' ORDER BY o_custkey LIMIT 10
+""")
+def flt_multi_and_first(d: Data):
+    """The search for the first keys: the limit is what was asked for."""
+    test = conditions.equals_all({"o_orderstatus": "F", "o_orderpriority": "2-HIGH"})
+    return matching_keys(d.table("orders"), "o_custkey", test, first=10)
+
+
 @query("flt_multi_or", "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority = '2-HIGH'")
 def flt_multi_or(d: Data):
     test = conditions.equals_any({"o_orderstatus": "F", "o_orderpriority": "2-HIGH"})
@@ -129,6 +138,14 @@ def flt_has_column(d: Data):
     return matching_keys(joined, "doc_id", F.col("toxic").isNotNull())
 
 
+@query("flt_has_column_first", """
+  SELECT DISTINCT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic IS NOT NULL) ORDER BY doc_id LIMIT 10
+""")
+def flt_has_column_first(d: Data):
+    joined = d.table("documents").select("doc_id").join(d.table("labels"), "doc_id", "left")
+    return matching_keys(joined, "doc_id", F.col("toxic").isNotNull(), first=10)
+
+
 @query("flt_key_lookup", """
   SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey IN (SELECT user_id FROM events)
 """)
