@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,7 +47,7 @@ def sizing(input_bytes: int, cores: int) -> dict[str, str]:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Only a local-mode session without that setting gets a temporary folder, which goes with the process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -56,6 +58,7 @@ def shared_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _test_folders:
         _test_folders[app] = tempfile.mkdtemp(prefix="tagloom-")
+        atexit.register(shutil.rmtree, _test_folders[app], ignore_errors=True)
     return _test_folders[app]
 
 
