@@ -42,26 +42,25 @@ def _pairs(words: list[str]) -> list[str]:
 
 
 def anchors(templates: Mapping[str, str], percent: int) -> list[str]:
-    """Words of which every text that reaches ``percent`` % for some template holds at least one.
+    """Bigrams of which every text that reaches ``percent`` % for some template holds at least one.
 
     Such a text shares at least percent / (200 - percent) of the template's m bigrams, s of them; so it
-    holds one of any m - s + 1.  Those with the longest words are taken, and of each its longest word.
+    holds one of any m - s + 1.  The longest are taken, as they are the rarest.
     """
     chosen = set()
     for text in templates.values():
         pairs = _pairs(_words(text))
         shared = -(-percent * len(pairs) // (200 - percent))
-        longest = sorted((max(pair.split(), key=len) for pair in pairs), key=lambda word: (-len(word), word))
-        chosen.update(longest[: len(pairs) - shared + 1])
+        chosen.update(sorted(pairs, key=lambda pair: (-len(pair), pair))[: len(pairs) - shared + 1])
     return sorted(chosen)
 
 
-def _pattern(words: list[str]) -> str:
-    """One pattern for all words, branching by first letter."""
+def _pattern(pairs: list[str]) -> str:
+    """One pattern for all bigrams in a text as it stands, branching by first letter."""
     rests: dict[str, list[str]] = {}
-    for word in words:
-        rests.setdefault(word[0], []).append(word[1:])
-    return "(?i)(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in sorted(rests.items())) + ")"
+    for pair in pairs:
+        rests.setdefault(pair[0], []).append(pair[1:].replace(" ", "[^a-zA-Z0-9]+"))
+    return "(?:" + "|".join(f"[{first}{first.upper()}](?i:{'|'.join(rest)})" for first, rest in sorted(rests.items())) + ")"
 
 
 def _normal(text: Column) -> Column:
