@@ -72,9 +72,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, lang, ids`` of every document, and ``decoded_same``: the decoded bytes are the text."""
     ranks = byte_pairs.read_ranks(public_tokenizers.path(RANKS))
     rows = docs.select("doc_id", "source", "lang", F.sha2(F.col("text"), 256).alias("text_sha256"), "text")
-    coded = byte_pairs.encode(rows, ranks, public_tokenizers.PATTERN)
-    decoded = byte_pairs.decode(coded, ranks)
-    return decoded.select("doc_id", "source", "lang", "ids", F.size("ids").alias("n_tokens"), (F.sha2("decoded", 256) == F.col("text_sha256")).alias("decoded_same"))
+    coded = byte_pairs.encode_and_check(rows, ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "source", "lang", "ids", "n_tokens", (F.col("decoded_sha256") == F.col("text_sha256")).alias("decoded_same"))
 
 
 STAGES = [

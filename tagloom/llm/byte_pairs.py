@@ -12,10 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.vectors import slices
+from tagloom.llm.vectors import slices, small_batches
 
 #: Words whose merges a task remembers, and the length up to which it does.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 REMEMBERED_BYTES = 64
 _LONG = 128
 
@@ -125,14 +125,20 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_column: st
     Null and empty texts have no ids; a column ``ids`` of the input is replaced.  The JVM splits the texts (with Unicode classes); a task folds
     the distinct words of each slice of a batch and remembers a bounded number of them.  No row is shuffled.
     """
+    split, schema = _split(df, pattern, text_column)
+    return split.mapInArrow(_encoding(ranks), schema)
+
+
+def _split(df: DataFrame, pattern: str, text_column: str) -> tuple[DataFrame, str]:
+    """``df`` with the words in place of the text, and the schema that encoding gives it."""
+    small_batches(df.sparkSession)
     others = [c for c in df.columns if c not in (text_column, "ids")]
     words = "words"
     while words in others:
         words = f"_{words}"
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     split = df.select(*others, F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0)).alias(words))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in split.select(*others).schema), "ids array<int>"])
-    return split.mapInArrow(_encoding(ranks), schema)
+    return split, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in split.select(*others).schema), "ids array<int>"])
 
 
 def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
@@ -173,21 +179,22 @@ def _digesting(ranks: dict[bytes, int]):
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
             counts, texts, decoded = [], [], []
-            for ids in _rows(column):
+            for ids in _rows(batch.column(batch.num_columns - 1)):
                 counts.append(len(ids))
                 texts.append(hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join([pieces[i] for i in ids])).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(texts), pa.array(decoded)],
-                [*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"],
+                [*batch.columns, pa.array(counts, pa.int64()), pa.array(texts), pa.array(decoded)],
+                [*batch.schema.names, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
     return digest
 
 
-def digests(df: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``df``, whose last column is ``ids``, with ``n_tokens, ids_sha256, decoded_sha256`` in its place."""
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema[:-1]), "n_tokens long, ids_sha256 string, decoded_sha256 string"])
-    return df.mapInArrow(_digesting(ranks), schema)
+def encode_and_check(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_column: str = "text") -> DataFrame:
+    """``encode`` with ``n_tokens, ids_sha256, decoded_sha256`` after the ids: digests of the decimal ids
+    joined by a blank and of the decoded bytes.  Encoding and decoding share one pass of one task."""
+    first, second = _encoding(ranks), _digesting(ranks)
+    split, schema = _split(df, pattern, text_column)
+    return split.mapInArrow(lambda batches: second(first(batches)), f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.scratch import Scratch
-from tagloom.llm.vectors import slices
+from tagloom.llm.vectors import slices, small_batches
 
 #: Labelled rows the classifier is fitted on, about; at most twice as many are taken.
 FIT_ROWS = 6_000
@@ -162,6 +162,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(labelled: DataFrame, scratch: Scratch, text_column: str, lang_column: str, key_column: str) -> Model | None:
     """Fits on a hashed sample of ``labelled`` rows of bounded size; None if no row has a language and letters."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(
         F.col(key_column).alias("key"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text")
     ).where("lang IS NOT NULL AND text IS NOT NULL")

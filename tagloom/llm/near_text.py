@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.links import blocks, components, roots, rows_with_ids, runs
 from tagloom.llm.scratch import Scratch
 from tagloom.llm.shingles import shingle_set, sketch
-from tagloom.llm.vectors import slices
+from tagloom.llm.vectors import slices, small_batches
 
 #: Members and shingles of a block: what one task holds of a bucket, twice.
 BLOCK_MEMBERS = 1_024
@@ -176,6 +176,7 @@ def near_duplicates(
     that repeat an id count as one document: they share a component.  A row without an id takes no
     part: its component is null and it is kept.  Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     bands = bins // band_rows
     marked = scratch.keep(

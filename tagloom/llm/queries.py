@@ -49,8 +49,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     ranks = byte_pairs.read_ranks(public_tokenizers.path(RANKS))
-    coded = byte_pairs.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return byte_pairs.digests(coded, ranks)
+    return byte_pairs.encode_and_check(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("ids")
 
 
 @query("op3_byte_level_bpe")

@@ -6,12 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 #: Rows of texts that a task works on at once.
 SLICE_ROWS = 256
+BATCH_ROWS = 1_024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session hold at most ``BATCH_ROWS`` rows from now on: texts are wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
