@@ -22,6 +22,9 @@ BLOCK = 4_096
 _CHUNK = 256
 #: Cosines this near to the threshold are computed again from the vectors as given.
 _DOUBT = 1e-9
+#: Rounding of differences of squared distances; pivots nearer to one another than ``_TWIN`` count as one.
+_SLACK = 1e-9
+_TWIN = 1e-6
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -32,6 +35,20 @@ def _distances(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (units @ pivots.T)))
 
 
+def _apart(pivots: np.ndarray) -> np.ndarray:
+    """Distances between pivots, from their differences: exact also where they are nearly equal."""
+    return np.array([np.sqrt(((pivots - pivot) ** 2).sum(axis=1)) for pivot in pivots])
+
+
+def _distinct(pivots: np.ndarray) -> np.ndarray:
+    """The pivots without those that have nearly the direction of an earlier one: multiples of a vector are one direction."""
+    twins = np.tril(_apart(pivots) < _TWIN, -1)
+    kept = np.ones(len(pivots), dtype=bool)
+    for i in range(len(pivots)):
+        kept[i] = not (twins[i] & kept).any()
+    return pivots[kept]
+
+
 def _homing(pivots: np.ndarray, dims: int):
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,9 +68,10 @@ def _replicating(pivots: np.ndarray, radius: np.ndarray, reach: float, dims: int
 
     A partner y in cell q is at least as near to q as to x's own pivot p, so x can only be within
     ``reach`` of it if x is within ``reach`` of the plane halfway between p and q, and if x is within
-    ``reach`` plus the cell's radius of q (triangle inequality).
+    ``reach`` plus the cell's radius of q (triangle inequality).  ``_SLACK`` covers the rounding of
+    the squares, which decides alone where p and q are nearly equal.
     """
-    between = _distances(pivots, pivots)
+    between = _apart(pivots)
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,7 +79,7 @@ def _replicating(pivots: np.ndarray, radius: np.ndarray, reach: float, dims: int
             home = batch.column("cell").to_numpy()
             far = _distances(_unit(rows), pivots)
             own = far[np.arange(len(far)), home][:, None]
-            near = (far**2 - own**2 <= 2 * reach * between[home]) & (far <= radius[None, :] + reach)
+            near = (far**2 - own**2 <= 2 * reach * between[home] + _SLACK) & (far <= radius[None, :] + reach)
             near &= np.arange(len(pivots))[None, :] > home[:, None]
             which, cell = np.nonzero(near)
             take = pa.array(np.concatenate((np.arange(len(rows)), which)))
@@ -130,7 +148,7 @@ def _joining(threshold: float, reach: float, dims: int):
 def near_vectors(df: DataFrame, scratch: Scratch, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = 0.9) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row; links are cosines of at least ``threshold``.
 
-    Equal vectors form a class that is compared once.  Pivots, a hashed sample of bounded size, cut
+    Equal vectors form a class that is compared once.  Pivots, the directions of a hashed sample of bounded size, cut
     the unit sphere into cells; boundary vectors are copied into the cells that may hold a partner,
     so that cells join independently and each pair is met once.  Cells are worked as pairs of blocks,
     which bounds every task; a task returns counts and the ends of its links' components, not pairs.
@@ -151,7 +169,7 @@ def near_vectors(df: DataFrame, scratch: Scratch, id_column: str = "vec_id", vec
     reach = float(np.sqrt(2.0 - 2.0 * threshold)) + 1e-7
     wanted = min(max(PIVOTS[0], -(-n // VECTORS_A_PIVOT)), PIVOTS[1])
     sample = classes.orderBy("tag", "id").limit(wanted).select("v").toArrow().column(0).combine_chunks()
-    pivots = _unit(matrix(sample, dims)) if n else np.zeros((1, dims))
+    pivots = _distinct(_unit(matrix(sample, dims))) if n else np.zeros((1, dims))
     homes = scratch.keep(
         classes.select("v", "id", "tag", "weight").mapInArrow(_homing(pivots, dims), "cell int, dist double, id long, tag long, weight long, vector binary"), "homes"
     )

@@ -154,6 +154,23 @@ def test_near_vectors(spark, monkeypatch, block):
     assert got[None].component_id is None and got[None].kept
 
 
+@pytest.mark.parametrize("twin", [0.0, near_vectors._TWIN])
+def test_near_vectors_of_one_direction(spark, monkeypatch, twin):
+    """A third of the rows are multiples of one vector, so pivots share its direction; also if none is dropped."""
+    monkeypatch.setattr(near_vectors, "_TWIN", twin)
+    monkeypatch.setattr(near_vectors, "VECTORS_A_PIVOT", 20)
+    rng = np.random.default_rng(3)
+    one = rng.normal(size=8)
+    close = one + rng.normal(scale=0.3, size=(400, 8))
+    made = np.concatenate((one * rng.uniform(0.1, 9, size=(400, 1)), close, rng.normal(size=(400, 8)))).astype(np.float32)
+    got = {r.vec_id: r for r in near_vectors.near_vectors(vector_frame(spark, made), Scratch(spark, "t")).collect()}
+    units = made.astype(float) / np.linalg.norm(made.astype(float), axis=1)[:, None]
+    link = units @ units.T >= 0.9
+    np.fill_diagonal(link, False)
+    low = closure(range(len(made)), list(zip(*np.nonzero(link))))
+    assert [(got[i].n_links, got[i].component_id) for i in range(len(made))] == [(link[i].sum(), low[i]) for i in range(len(made))]
+
+
 def test_vectors_of_odd_tables(spark):
     empty = small_table(spark, [], "vec_id long, embedding array<float>")
     assert near_vectors.near_vectors(empty, Scratch(spark, "t")).count() == 0
