@@ -64,16 +64,23 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts the documents in the order of the mix: partitions, and rows inside them."""
+    """Puts the documents in the order of the mix: partitions, and rows inside them; ``tokenize`` states their position."""
     return mixing.in_mixed_order(mixing.mixed(docs, MIX, MIX_OTHER, MIX_BLOCK))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, source, lang, ids`` of every document, and ``decoded_same``: the decoded bytes are the text."""
+    """``doc_id, source, lang, ids`` of every document, and ``decoded_same``: the decoded bytes are the text.
+
+    ``pool, slot, position`` are the place in the mix, derived again from the same rows: tables that were
+    written and read have no order of their own.  Sorting by ``position`` gives the mix.
+    """
     ranks = byte_pairs.read_ranks(public_tokenizers.path(RANKS))
-    rows = docs.select("doc_id", "source", "lang", F.sha2(F.col("text"), 256).alias("text_sha256"), "text")
+    place = ["pool", "slot", "position"]
+    mix = mixing.mixed(docs, MIX, MIX_OTHER, MIX_BLOCK).select("row.doc_id", "row.source", "row.lang", "row.text", *place)
+    rows = mix.select("doc_id", "source", "lang", *place, F.sha2(F.col("text"), 256).alias("text_sha256"), "text")
     coded = byte_pairs.encode_and_check(rows, ranks, public_tokenizers.PATTERN)
-    return coded.select("doc_id", "source", "lang", "ids", "n_tokens", (F.col("decoded_sha256") == F.col("text_sha256")).alias("decoded_same"))
+    same = (F.col("decoded_sha256") == F.col("text_sha256")).alias("decoded_same")
+    return coded.select("doc_id", "source", "lang", *place, "ids", "n_tokens", same)
 
 
 STAGES = [
@@ -87,7 +94,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over ``documents``."""
+    """The last stage's rows over ``documents``; ``position`` is their order."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:

@@ -84,6 +84,21 @@ def test_stages(spark):
     assert len(rows) == len(texts) and all(r.ids == library.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids) and r.decoded_same for r in rows)
 
 
+def test_last_stage_states_the_order_of_the_mix(spark, folder):
+    """Part files of unequal size, the largest last: a scan returns them in another order than they were written."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.repeat("text", 5)).otherwise(F.col("text")))
+    for i, (low, high) in enumerate([(0, 5), (5, 20), (20, 50), (50, 100)]):
+        docs.where(F.col("doc_id") % 100 >= low).where(F.col("doc_id") % 100 < high).coalesce(1).write.mode("append").parquet(folder)
+    docs = spark.read.parquet(folder)
+    mixed = pipeline.mix_sources(spark, docs, SMALL).withColumn("at", F.monotonically_increasing_id())
+    mixed.repartitionByRange(5, "at").drop("at").write.parquet(f"{folder}-mixed")
+    read = spark.read.parquet(f"{folder}-mixed")
+    rows = pipeline.tokenize(spark, read, SMALL).select("doc_id", "pool", "slot", "position", "decoded_same").collect()
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.position)] == brute_mix(docs.select("doc_id", "source").collect())
+    assert all(r.slot == r.position // MIX_BLOCK and r.decoded_same for r in rows)
+
+
 def test_stages_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:
