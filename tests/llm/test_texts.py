@@ -116,6 +116,28 @@ def test_toxicity_behind_disguise(spark):
     assert [got[10_000 + i].predicted for i in range(len(more))] == [1] * len(disguised) + [0] * len(calm)
 
 
+def test_toxicity_of_joined_runs_and_doubled_letters(spark):
+    """Spaced-out words beside one-letter words and each other, and letters written twice."""
+    rows, labels = toxic_rows(4, 600)
+    rows = [(i, f"{text} {'a' if i % 2 else 'you'}") for i, text in rows]
+    disguised = ["theon a i d i o t reto", "y o u i d i o t", "theon i d i o t m o r o n reto", "y-o-u-m-o-r-o-n", "theon iidiot", "theon idiiot reto",
+                 "theon idioot!", "mmoorroonn", "theon 1diiot", "a i d i i o t"]
+    calm = ["theon a y o u reto", "y o u a y o u", "theon idoot", "rretto", "a m o r e", "theonn aa"]
+    more = [(10_000 + i, t) for i, t in enumerate(disguised + calm)]
+    frame = small_table(spark, rows + more, "doc_id long, text string")
+    marks = small_table(spark, labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity_of(frame, marks, Scratch(spark, "t")).collect()}
+    assert [got[10_000 + i].predicted for i in range(len(more))] == [1] * len(disguised) + [0] * len(calm)
+
+
+def test_runs_split_into_seen_words():
+    splitter = toxicity.Splitter({"a": 3.0, "you": 4.0, "idiot": 7.0, "ass": 8.0, "cl": 9.0, "boot": 9.0}, {"idiot", "bot", "stupi*"})
+    assert splitter.parts("aidiot") == ["a", "idiot"] and splitter.parts("youidiotyou") == ["you", "idiot", "you"]
+    assert splitter.parts("classy") == ["classy"] and splitter.parts("") == [] and splitter.parts("xqzv") == ["xqzv"]
+    assert splitter.shortened("iddioott") == {"idiot"} and splitter.shortened("stuupiddity") == {"stupi*"}
+    assert splitter.shortened("boot") == splitter.shortened("idiot") == splitter.shortened("stuupi") == set()
+
+
 def test_toxicity_without_labels(spark):
     frame = small_table(spark, [(1, "text"), (2, None)], "doc_id long, text string")
     marks = small_table(spark, [], "doc_id long, quality int, toxic int")
