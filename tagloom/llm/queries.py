@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import byte_pairs, chat, fixity, language, licences, mixing, near_text, near_vectors, top_inner, toxicity
+from tagloom.llm import alignment, byte_pairs, chat, fixity, language, licences, mixing, near_text, near_vectors, top_inner, toxicity
 from tagloom.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,13 @@ def merkle_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op1")
     original = scratch.keep(fixity.leaves(records), "leaves")
     return fixity.audit(original, fixity.leaves(fixity.damaged(records)), scratch)
+
+
+@query("op11_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    both = alignment.Tokenizers.read(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
+    )
+    return alignment.alignment(table(spark, folder, "documents"), both, Scratch(spark, "op11"))
