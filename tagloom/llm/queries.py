@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagloom.llm import alignment, byte_pairs, chat, fixity, language, licences, mixing, near_text, near_vectors, top_inner, toxicity
+from tagloom.llm import alignment, byte_pairs, chat, fill_in_middle, fixity, language, licences, mixing, near_text, near_vectors, top_inner, toxicity
 from tagloom.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +175,27 @@ def cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
     )
     return alignment.alignment(table(spark, folder, "documents"), both, Scratch(spark, "op11"))
+
+
+_MIDDLE_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units, ('0x' || h[1:8])::BIGINT AS h1,
+    ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM texts),
+cuts AS (
+  SELECT doc_id, text, units, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m, array_to_string(units[b + 1:], '') AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts"""
+
+
+@query("op12_fill_in_middle", _MIDDLE_SQL)
+def fill_in_middle_digests(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_in_middle.transform(table(spark, folder, "documents"), seed=42, percent=50, suffix_first=80)
+    whole = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(*cut.columns[:-1], F.sha2("output", 256).alias("output_sha256"), F.sha2(whole, 256).alias("restored_sha256"))
