@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import alignment, byte_pairs, chat, fill_in_middle, fixity, language, licences, mixing, near_text, near_vectors, top_inner, toxicity
+from tagloom.llm import alignment, byte_pairs, chat, fill_in_middle, fixity, language, licences, mixing, near_text, near_vectors, top_inner, toxicity, url_filter, url_seeds
 from tagloom.llm.scratch import Scratch
+from tagloom.small import small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -199,3 +200,13 @@ def fill_in_middle_digests(spark: SparkSession, folder: str) -> DataFrame:
     cut = fill_in_middle.transform(table(spark, folder, "documents"), seed=42, percent=50, suffix_first=80)
     whole = fill_in_middle.restored(F.col("output"), F.col("form"))
     return cut.select(*cut.columns[:-1], F.sha2("output", 256).alias("output_sha256"), F.sha2(whole, 256).alias("restored_sha256"))
+
+
+#: Rules of the URL filter: a host with its subdomains, and the beginning of the path.
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+
+
+@query("op13_url_filter")
+def judged_urls(spark: SparkSession, folder: str) -> DataFrame:
+    model = url_filter.fit(small_table(spark, url_seeds.labelled(), "url string, blocked int"))
+    return url_filter.judged(table(spark, folder, "pages"), URL_RULES, model)
