@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.scratch import Scratch
 
 #: Characters of text, and rows, after which a chunk is full; a longer text is a chunk of its own.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 CHUNK_ROWS = 16_384
 #: Link pairs laid out at once, and the pairs of a group above which its ids are made distinct first.
 LAID_OUT = 2_000_000
