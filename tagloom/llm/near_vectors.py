@@ -19,6 +19,8 @@ VECTORS_A_PIVOT = 2_000
 PIVOTS = (8, 2_048)
 #: Vectors of a block; a task holds two blocks.
 BLOCK = 4_096
+#: Copies of vectors that a task writes at once, however many pivots there are.
+COPIES = 32_768
 _CHUNK = 256
 #: Cosines this near to the threshold are computed again from the vectors as given.
 _DOUBT = 1e-9
@@ -31,6 +33,19 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
+def _tame(rows: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest component near 1: exact, and its squares neither over- nor underflow."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, initial=0.0))[1][:, None])
+
+
+def _parts(batches: Iterator[pa.RecordBatch], pivots: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces whose rows have ``COPIES`` copies at most, were each in every cell."""
+    rows = max(1, COPIES // pivots)
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _distances(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (units @ pivots.T)))
 
@@ -51,8 +66,8 @@ def _distinct(pivots: np.ndarray) -> np.ndarray:
 
 def _homing(pivots: np.ndarray, dims: int):
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = matrix(batch.column(0), dims)
+        for batch in _parts(batches, len(pivots)):
+            rows = _tame(matrix(batch.column(0), dims))
             far = _distances(_unit(rows), pivots)
             cell = far.argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
@@ -74,7 +89,7 @@ def _replicating(pivots: np.ndarray, radius: np.ndarray, reach: float, dims: int
     between = _apart(pivots)
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, len(pivots)):
             rows = unpacked(batch.column("vector").to_pylist(), dims)
             home = batch.column("cell").to_numpy()
             far = _distances(_unit(rows), pivots)
@@ -169,7 +184,7 @@ def near_vectors(df: DataFrame, scratch: Scratch, id_column: str = "vec_id", vec
     reach = float(np.sqrt(2.0 - 2.0 * threshold)) + 1e-7
     wanted = min(max(PIVOTS[0], -(-n // VECTORS_A_PIVOT)), PIVOTS[1])
     sample = classes.orderBy("tag", "id").limit(wanted).select("v").toArrow().column(0).combine_chunks()
-    pivots = _distinct(_unit(matrix(sample, dims))) if n else np.zeros((1, dims))
+    pivots = _distinct(_unit(_tame(matrix(sample, dims)))) if n else np.zeros((1, dims))
     homes = scratch.keep(
         classes.select("v", "id", "tag", "weight").mapInArrow(_homing(pivots, dims), "cell int, dist double, id long, tag long, weight long, vector binary"), "homes"
     )

@@ -21,17 +21,30 @@ ANNULI = 8
 BLOCK = 4_096
 #: Queries of one task.
 QUERIES = 1_024
+#: Annuli that a query visits in its first step, and how many times more in each later one.
+FIRST_STEP, GROWTH = 1, 8
+#: Numbers of a matrix, and copies of queries, that a task holds at once, however many annuli there are.
+CELLS, COPIES = 1 << 20, 32_768
 _EXACT = float(1 << 53)
+_LONG = (-(1 << 63), (1 << 63) - 1)
 
 
 def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exact: in doubles where these hold every sum, else in Python's integers."""
+    """Inner products of whole numbers, exact: in doubles where these hold every sum, else in Python's integers, held within 64 bits."""
     if queries.size and vectors.size and np.abs(queries).max() * np.abs(vectors).max() * queries.shape[1] >= _EXACT:
         whole = lambda rows: np.array([[int(x) for x in row] for row in rows], dtype=object)
-        return whole(queries) @ whole(vectors).T
+        return np.clip(whole(queries) @ whole(vectors).T, *_LONG)
     return queries @ vectors.T
 
 
+def _parts(batches: Iterator[pa.RecordBatch], wide: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``CELLS`` numbers, ``wide`` for each row."""
+    rows = max(1, CELLS // max(1, wide))
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _from_pivots(rows: np.ndarray, lift: np.ndarray, pivots: np.ndarray, pivot_lift: np.ndarray) -> np.ndarray:
     """Distances in the space where a further component gives every vector the same length."""
     squares = (rows * rows).sum(axis=1) + lift**2
@@ -48,7 +61,7 @@ def _keying(pivots: np.ndarray, longest: float, dims: int):
     """Each vector's nearest pivot and its distance from it."""
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, len(pivots) + dims):
             rows = matrix(batch.column(1), dims)
             far = _from_pivots(rows, _lift(rows, longest), pivots, _lift(pivots, longest))
             cell = far.argmin(axis=1)
@@ -75,38 +88,40 @@ class _Annuli:
         return best + 1e-6 * (1.0 + np.abs(best))
 
 
-def _routing(annuli: _Annuli, dims: int, k: int, first: bool):
-    """Sends queries to blocks: first to the most promising annulus, then to all that can still hold a result."""
+def _routing(annuli: _Annuli, dims: int, start: int, stop: int):
+    """Sends queries to the blocks of their annuli from place ``start`` to ``stop`` in the order of falling
+    ceilings; the first whose ceiling is below the query's floor ends its way."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            queries = unpacked(batch.column("vector").to_pylist(), dims)
-            ceilings = annuli.ceilings(queries)
-            if first:
-                best = np.where(annuli.size[None, :] > k, ceilings, -np.inf)
-                go = np.zeros(ceilings.shape, dtype=bool)
-                go[np.arange(len(go)), best.argmax(axis=1)] = True
-            else:
-                floor = batch.column("floor").to_numpy(zero_copy_only=False)  # null: nothing known
-                go = ~(ceilings < floor[:, None])
-            query, annulus = np.nonzero(go)
-            if first:
-                part, times = np.zeros(len(query), dtype=np.int64), np.ones(len(query), dtype=np.int64)
-            else:
-                times = annuli.parts[annulus]
+        for batch in _parts(batches, len(annuli.cell) + dims):
+            ceilings = annuli.ceilings(unpacked(batch.column("vector").to_pylist(), dims))
+            floor = _below(batch.column("floor").to_numpy(zero_copy_only=False))  # null: nothing known
+            order = np.argsort(-ceilings, axis=1, kind="stable")[:, start:stop]
+            go = ~(np.take_along_axis(ceilings, order, axis=1) < floor[:, None])
+            query, place = np.nonzero(go)
+            annulus = order[query, place]
+            stops = np.cumsum(annuli.parts[annulus])
+            at = 0
+            while at < len(query):
+                end = max(at + 1, int(np.searchsorted(stops, (stops[at - 1] if at else 0) + COPIES, side="right")))
+                times = annuli.parts[annulus[at:end]]
                 part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            query, annulus = np.repeat(query, times), np.repeat(annulus, times)
-            kept = batch.select(["query_id", "vector", "floor"]).take(pa.array(query))
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, *(pa.array(x.astype(np.int32)) for x in (annuli.cell[annulus], annuli.ring[annulus], part))],
-                ["query_id", "vector", "floor", "cell", "ring", "part"],
-            )
+                sent, ring = np.repeat(query[at:end], times), np.repeat(annulus[at:end], times)
+                kept = batch.select(["query_id", "vector", "floor"]).take(pa.array(sent))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, *(pa.array(x.astype(np.int32)) for x in (annuli.cell[ring], annuli.ring[ring], part))],
+                    ["query_id", "vector", "floor", "cell", "ring", "part"],
+                )
+                at = end
 
     return route
 
 
+def _below(floor: np.ndarray) -> np.ndarray:
+    """Floors that doubles may have rounded up, a step lower."""
+    return np.where(np.abs(floor) >= _EXACT, np.nextafter(floor, -np.inf), floor)
+
+
 _FOUND = "query_id long, query binary, vec_id long, score long"
 
 
@@ -121,7 +136,7 @@ def _searching(dims: int, k: int):
             for start in range(0, len(queries), 256):
                 some = queries.iloc[start : start + 256]
                 scores = _scores(unpacked(some.vector, dims), vectors)
-                for query, raw, floor, row in zip(some.query_id, some.vector, some.floor, scores):
+                for query, raw, floor, row in zip(some.query_id, some.vector, _below(some.floor.to_numpy(np.float64)), scores):
                     able = ids != query
                     if floor == floor:
                         able &= row >= floor
@@ -143,15 +158,17 @@ def top_inner(df: DataFrame, scratch: Scratch, is_query, id_column: str = "vec_i
     Components become floor(scale * x); scores are inner products of these whole numbers, ties go to
     the smaller id.  A further component that gives all vectors the length of the longest turns the
     highest inner product into the least distance, so the triangle inequality bounds the scores of
-    every annulus around a pivot.  Queries first visit their most promising annulus, whose k-th score
-    is a floor, then every annulus whose bound reaches the floor; the others are skipped.
+    every annulus around a pivot.  A query expands its annuli in the order of falling bounds, in steps that
+    grow; after each step its k-th score so far is its floor, and it stops at the first bound below it.
 
-    Vectors that are null or hold null or non-finite components take no part, nor do rows without an
-    id.  Equal rows count once; shorter vectors count as padded with zeros.
+    Vectors that are null or hold null or non-finite components take no part, also after scaling, nor do rows
+    without an id.  Scores beyond 64 bits are held at the ends of their range.  Equal rows count once; shorter
+    vectors count as padded with zeros.
     """
     rows = df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    rows = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v")).distinct()
+    whole = lambda y: F.when(F.abs(y) >= _EXACT, y).otherwise(F.floor(y).cast("double"))
+    rows = rows.select("vec_id", F.transform("v", lambda x: whole(x * F.lit(scale))).alias("v")).where(usable(F.col("v"))).distinct()
     rows = scratch.keep(rows, "rows")
     n, dims = rows.count(), width(rows, "v")
     longest = float(rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0] or 0.0)
@@ -174,23 +191,37 @@ def top_inner(df: DataFrame, scratch: Scratch, is_query, id_column: str = "vec_i
     deals = max(1, -(-queries.count() // QUERIES))
     routed = "query_id long, vector binary, floor double, cell int, ring int, part int"
 
-    def searched(open_queries: DataFrame, first: bool, name: str) -> DataFrame:
-        sent = open_queries.mapInArrow(_routing(annuli, dims, k, first), routed).withColumn("deal", F.pmod(F.xxhash64("query_id"), F.lit(deals)).cast("int"))
-        tasks = scratch.keep(sent, f"{name}-sent")
+    def searched(open_queries: DataFrame, start: int, stop: int) -> DataFrame | None:
+        sent = open_queries.mapInArrow(_routing(annuli, dims, start, stop), routed).withColumn("deal", F.pmod(F.xxhash64("query_id"), F.lit(deals)).cast("int"))
+        tasks = scratch.keep(sent, f"sent-{start}")
+        if tasks.isEmpty():
+            return None
         keys = ["cell", "ring", "part", "deal"]
         asked = tasks.groupBy(*[F.col(c).alias(f"asked_{c}") for c in keys]).agg(F.lit(1))
         asked = asked.select(*[F.col(f"asked_{c}").alias(c) for c in keys])
         blocks = index.join(asked, ["cell", "ring", "part"])
-        return scratch.keep(tasks.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInPandas(_searching(dims, k), _FOUND), name)
+        return scratch.keep(tasks.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInPandas(_searching(dims, k), _FOUND), f"found-{start}")
 
     if not len(annuli.cell):
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
-    probed = searched(queries.withColumn("floor", F.lit(None).cast("double")), True, "probed")
-    floors = probed.groupBy("query_id", "query").agg(F.min("score").cast("double").alias("floor"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
-    open_queries = queries.withColumnRenamed("vector", "query").join(floors.select("query_id", "query", "floor"), ["query_id", "query"], "left").withColumnRenamed("query", "vector")
-    found = searched(open_queries.select("query_id", "vector", "floor"), False, "found")
-    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    result = scratch.keep(ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "result")
-    scratch.drop("rows", "keyed", "index", "queries", "probed-sent", "probed", "found-sent", "found")
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    best, start, step, made = None, 0, FIRST_STEP, []
+    while start < len(annuli.cell):
+        if best is None:
+            waiting = queries.withColumn("floor", F.lit(None).cast("double"))
+        else:
+            floors = best.where(F.col("rank") == k).select("query_id", "query", F.col("score").cast("double").alias("floor"))
+            waiting = queries.withColumnRenamed("vector", "query").join(floors, ["query_id", "query"], "left").withColumnRenamed("query", "vector")
+        found = searched(waiting.select("query_id", "vector", "floor"), start, start + step)
+        made += [f"sent-{start}", f"found-{start}", f"best-{start}"]
+        if found is None:
+            break
+        if best is not None:
+            found = best.drop("rank").unionByName(found)
+        best = scratch.keep(found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k), f"best-{start}")
+        start, step = start + step, step * GROWTH
+    if best is None:
+        return queries.select("query_id", F.lit(0).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0).cast("long").alias("score")).limit(0)
+    result = scratch.keep(best.select("query_id", "rank", "vec_id", "score"), "result")
+    scratch.drop("rows", "keyed", "index", "queries", *made)
     return result

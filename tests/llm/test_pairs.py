@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +195,61 @@ def test_top_inner(spark, monkeypatch, scale):
         scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in enumerate(whole) if i != q)[:6]
         want += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores)]
     assert got == want
+
+
+def test_copies_are_written_in_bounded_batches():
+    """2,048 pivots and 8,192 annuli of several blocks, all of them open: no output batch outgrows its bound."""
+    rng = np.random.default_rng(9)
+    dims, n = 64, 300
+    pivots = near_vectors._unit(rng.normal(size=(2_048, dims)))
+    rows = rng.normal(size=(n, dims))
+    plain = pa.RecordBatch.from_arrays([pa.array(list(rows)), pa.array(range(n)), pa.array(range(n)), pa.array([1] * n)], ["v", "id", "tag", "weight"])
+    homes = list(near_vectors._homing(pivots, dims)([plain]))
+    assert sum(b.num_rows for b in homes) == n
+    copies = 0
+    for batch in near_vectors._replicating(pivots, np.full(2_048, 2.0), 2.0, dims)(homes):
+        assert batch.nbytes < 64 << 20
+        copies += batch.num_rows
+    assert copies > 100 * n
+
+    annuli = top_inner._Annuli([(i // 8, i % 8, 1 + i % 40, 4_096, 0.1 * (i % 8), 0.1 * (i % 8 + 1)) for i in range(8_192)], rng.normal(size=(1_024, dims)), 500.0)
+    queries = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), pa.array([v.tobytes() for v in rows], pa.binary()), pa.nulls(n, pa.float64())], ["query_id", "vector", "floor"]
+    )
+    sent = 0
+    for batch in top_inner._routing(annuli, dims, 0, 8_192)([queries.slice(0, 40)]):
+        assert batch.nbytes < 64 << 20
+        sent += batch.num_rows
+    assert sent == 40 * int(annuli.parts.sum())
+
+
+def test_annuli_expand_in_order_and_stop_at_the_floor():
+    rng = np.random.default_rng(2)
+    annuli = top_inner._Annuli([(i // 8, i % 8, 1, 10, 0.5 * (i % 8), 0.5 * (i % 8) + 0.5) for i in range(64)], rng.normal(size=(8, 4)), 30.0)
+    rows = rng.normal(size=(5, 4))
+    ceilings = annuli.ceilings(rows)
+    floor = np.sort(ceilings, axis=1)[:, 40]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array([v.tobytes() for v in rows], pa.binary()), pa.array(floor)], ["query_id", "vector", "floor"])
+    seen = {i: [] for i in range(5)}
+    for start, stop in ((0, 1), (1, 9), (9, 73)):
+        for out in top_inner._routing(annuli, 4, start, stop)([batch]):
+            for r in out.to_pylist():
+                seen[r["query_id"]].append(ceilings[r["query_id"], r["cell"] * 8 + r["ring"]])
+    for i, found in seen.items():
+        assert found == sorted(ceilings[i][ceilings[i] >= floor[i]], reverse=True)
+
+
+def test_vectors_of_extreme_length(spark):
+    """Norms and scores beyond doubles and 64 bits."""
+    rows = [(0, [1e200, 2e200]), (1, [1e-200, 2e-200]), (2, [1.0, 2.0]), (3, [-1e300, 1e300]), (4, [3.0, 0.0])]
+    frame = small_table(spark, rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(frame, Scratch(spark, "t")).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (0, 3), 4: (0, 4)}
+    found = sorted(map(tuple, top_inner.top_inner(frame, Scratch(spark, "t"), lambda i: i < 9, k=4).collect()))
+    clip = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+    whole = {i: [int(np.floor(64 * x)) if abs(x) < 1e10 else int(64 * x) for x in v] for i, v in rows}
+    want = []
+    for q in whole:
+        best = sorted((-clip(sum(a * b for a, b in zip(whole[q], whole[i]))), i) for i in whole if i != q)
+        want += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(best)]
+    assert found == want
