@@ -2,7 +2,10 @@
 
 import base64
 import hashlib
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -166,6 +169,64 @@ def test_viterbi_finds_the_best_path():
         assert channel.restore([text]) == [best[1]]
 
 
+def odd_text(rng):
+    return "".join(rng.choice("abeilost0134.$!ab") for _ in range(rng.randrange(1, 30))) + "0" * rng.randrange(20)
+
+
+def test_windows_and_single_stretches_agree(monkeypatch):
+    """Any window, any batch, and the way for one long stretch give the same letters."""
+    rng = random.Random(11)
+    channel = toxicity.Channel("abeilost", np.random.default_rng(4).random((toxicity._BASE, toxicity._BASE)) * 4)
+    texts = [odd_text(rng) for _ in range(120)] + ["a" + "0$1" * 100 + "b", "5" * 300]
+    want = channel.restore(texts)
+    for window, at_once, base in ((3, 1 << 17, 64), (7, 50, 64), (512, 1, 64), (5, 1, 0)):
+        monkeypatch.setattr(toxicity, "WINDOW", window)
+        monkeypatch.setattr(toxicity, "AT_ONCE", at_once)
+        if not base:
+            monkeypatch.setattr(toxicity.Channel, "_forward", lambda self, best, line, tables, trace: self._forward_one(best[0], line[0], trace))
+        assert channel.restore(texts) == want
+
+
+def test_long_odd_tokens_stay_small():
+    """A token of a million characters, and 512 of three thousand: below 300 MB."""
+    code = """
+import random, resource, sys
+import numpy as np
+from tagloom.llm import toxicity as t
+channel = t.Channel("etaoinshrdlucmfw", np.random.default_rng(0).random((t._BASE, t._BASE)) * 4)
+start, rng, signs = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, random.Random(1), "abcdefghijklmnopqrstuvwxyz0123456789+/"
+reader = t.Reader(channel, {"idiot"}, {"idiot": 3.0, "a": 1.0})
+some = lambda n: "".join(rng.choices(signs, k=n))
+reader.features([some(1_000_000), " ".join(some(3_000) for _ in range(512)), "z" + "0" * 100_000])
+assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start) >> 10 < 300
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+def test_splitter_against_all_splits():
+    rng = random.Random(7)
+    costs = {"a": 3.0, "ab": 4.0, "bab": 6.5, "cc": 5.0, "abc": 7.0}
+    splitter = toxicity.Splitter(costs, ())
+
+    def price(words):
+        return sum(costs.get(w, splitter.unseen + toxicity.UNSEEN_LETTER * len(w)) for w in words)
+
+    def splits(run):
+        return [[]] if not run else [[run[:i], *rest] for i in range(1, len(run) + 1) for rest in splits(run[i:])]
+
+    for _ in range(60):
+        run = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 10)))
+        found = splitter.parts(run)
+        assert "".join(found) == run and abs(price(found) - min(map(price, splits(run)))) < 1e-9
+
+
+def test_score_is_the_logistic_sum():
+    channel = toxicity.Channel("abdiot", np.ones((toxicity._BASE, toxicity._BASE)))
+    model = toxicity.Model(channel, {"idiot": 2.5, "bad": 1.0, "idiot*": 9.0}, -1.5, {"bad": 1.0})
+    got = model.scores(["BAD idiot bad", "good", None, "bad"], toxicity.Reader(channel, set(model.weights), model.seen))
+    assert np.allclose(got, [1 / (1 + np.exp(-x)) for x in (2.0, -1.5, -1.5, -0.5)])
+
+
 def dice(one, other):
     a, b = set(licences._pairs(licences._words(one))), set(licences._pairs(licences._words(other)))
     return 2 * len(a & b) / (len(a) + len(b)) if a and b else 0.0
