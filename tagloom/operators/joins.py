@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from tagloom.bounds import small_copy
+from tagloom.small import small_table
 
 
 def match_values(
@@ -36,18 +38,33 @@ def match_ranges(
 ) -> DataFrame:
     """Add ``tag`` to the rows whose ``value`` lies in ``[lo, hi]`` of a rule; others are dropped.
 
-    An equi-join on grid cells at any number of rules; a few rules are a local relation, which Spark
-    broadcasts.
+    An equi-join on grid cells at any number of rules; a few rules are a local relation, placed on the grid
+    without a job, which Spark broadcasts.
     """
     wanted = rules.select(
         F.col(lo).cast("bigint").alias("_lo"), F.col(hi).cast("bigint").alias("_hi"),
         F.col(tag).alias("_tag"),
     )
     small = small_copy(wanted)
-    joined = interval_lookup(df, value, small or wanted, "_lo", "_hi", how="inner", salts=1 if small else 8)
+    if small is None:
+        joined = interval_lookup(df, value, wanted, "_lo", "_hi", how="inner")
+    else:
+        placed, levels = _placed_locally(small)
+        joined = _grid_join(df, value, placed, "_lo", "_hi", levels, salts=1).select(*df.columns, *small.columns)
     return joined.withColumn(tag, F.col("_tag")).drop("_lo", "_hi", "_tag")
 
 
+def _placed_locally(small: DataFrame) -> tuple[DataFrame, list[int]]:
+    """A local relation of ``_lo, _hi, _tag`` on the cells that ``interval_lookup`` would place it on, and the levels in use."""
+    placed = []
+    for lo, hi, tag in small.collect():  # a local relation is collected without a job
+        if lo is not None and hi is not None and lo <= hi:
+            level = (hi - lo).bit_length()
+            placed += [(lo, hi, tag, level, cell) for cell in sorted({lo >> level, hi >> level})]
+    schema = StructType([*small.schema.fields]).add("_level", IntegerType()).add("_cell", LongType())
+    return small_table(small.sparkSession, placed, schema), sorted({row[3] for row in placed}) or [0]
+
+
 def _level(width: Column) -> Column:
     """Smallest ``n`` with ``2**n >= width``."""
     return F.length(F.bin(width - 1)).cast("int") * (width > 1).cast("int")
@@ -70,9 +87,9 @@ def interval_lookup(
     )
     levels = sorted(row[0] for row in sized.select("_level").distinct().collect()) or [0]
     cells = [F.expr(f"shiftright(cast(`{end}` as bigint), _level)") for end in (lo, hi)]
-    placed = sized.withColumn("_cell", F.explode(F.array_distinct(F.array(*cells)))).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    placed = sized.withColumn("_cell", F.explode(F.array_distinct(F.array(*cells))))
+    if salts > 1:
+        placed = placed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     if how == "left":
         values = points.select(F.col(point).alias("_point")).where(F.col(point).isNotNull()).distinct()
         found = _grid_join(values, "_point", placed, lo, hi, levels, salts)
@@ -90,6 +107,9 @@ def _grid_join(
     probes = [
         F.struct(F.lit(n).alias("_level"), F.shiftright(value, n).alias("_cell")) for n in levels
     ]
+    if salts == 1:
+        looked_up = points.select(*points.columns, F.inline(F.array(*probes)))
+        return looked_up.join(placed, ["_level", "_cell"]).where(F.col(point).between(F.col(lo), F.col(hi)))
     salt = F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int")
     looked_up = points.withColumn("_salt", salt).select(
         *points.columns, "_salt", F.inline(F.array(*probes))
