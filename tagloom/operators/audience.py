@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.bounds import RULE_ROWS, small_copy
+from tagloom.bounds import small_copy
 from tagloom.functions import lists, text
+from tagloom.operators import bitmaps
+from tagloom.operators.bitmaps import combined_groups
 from tagloom.operators.profiles import exploded
-from tagloom.operators.tree import PATH_SEPARATOR, leaves_of, lineages
+from tagloom.operators.tree import PATH_SEPARATOR, lineages
 from tagloom.session import cut_lineage
 
 
@@ -29,30 +31,27 @@ def tag_index(profile: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranged.sortWithinPartitions("tag_id", "uid")
 
 
-def combined_groups(tag_map: DataFrame) -> DataFrame:
-    """Combined-tag rows with the OR group each belongs to and the number of groups.
+def combined_members(profile: DataFrame, tag_map: DataFrame) -> DataFrame:
+    """``(uid, merge_tag_id)`` for users that satisfy a combined tag; a profile has one row a user.
 
-    ``tag_map`` has ``merge_tag_id, seq, basic_tag_id, connector``; a connector joins a row to the
-    next one.  Runs of ``or`` bind first, so a new group starts after each ``and``.
+    A measured number of definitions is compiled into group masks that are tested on the array in the user's row:
+    nothing is shuffled.  More definitions are met by bitmaps, with the same result.
     """
-    in_order = Window.partitionBy("merge_tag_id").orderBy("seq")
-    whole = Window.partitionBy("merge_tag_id")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    ands = F.coalesce(F.sum(F.when(F.col("connector") == "and", 1).otherwise(0)).over(before), F.lit(0))
-    grouped = tag_map.withColumn("or_group", ands)
-    return grouped.withColumn("n_groups", F.max("or_group").over(whole) + 1)
-
-
-def combined_members(profile: DataFrame, tag_map: DataFrame) -> DataFrame:
-    """``(uid, merge_tag_id)`` for users that satisfy a combined tag."""
-    groups = combined_groups(tag_map).select(
-        "merge_tag_id", F.col("basic_tag_id").alias("tag_id"), "or_group", "n_groups"
-    )
-    met = exploded(profile).join(small_copy(groups) or groups, "tag_id")
-    per_user = met.groupBy("uid", "merge_tag_id", "n_groups").agg(
-        F.countDistinct("or_group").alias("_met")
-    )
-    return per_user.where(F.col("_met") == F.col("n_groups")).select("uid", "merge_tag_id")
+    groups = combined_groups(tag_map).select("merge_tag_id", F.col("basic_tag_id").cast("bigint").alias("tag_id"), "or_group", "n_groups")
+    few = small_copy(groups)
+    if few is None:
+        return bitmaps.combined(bitmaps.bitmap_index(profile), groups)
+    masks: dict[int, dict[int, set[int]]] = {}
+    for tag, basic, group, _ in few.collect():  # a local relation is collected without a job
+        masks.setdefault(tag, {}).setdefault(group, set()).add(basic)
+    if not masks:
+        return profile.select("uid", F.lit(None).cast("bigint").alias("merge_tag_id")).limit(0)
+    literal = F.array(*[
+        F.struct(F.lit(tag).cast("bigint").alias("id"), F.array(*[lists.tag_array(sorted(x for x in group if x is not None)) for group in wanted.values()]).alias("groups"))
+        for tag, wanted in masks.items()
+    ])
+    met = F.filter(literal, lambda mask: F.forall(mask["groups"], lambda group: F.arrays_overlap("tag_ids", group)))
+    return profile.where(F.col("uid").isNotNull()).select("uid", F.explode(F.transform(met, lambda mask: mask["id"])).alias("merge_tag_id"))
 
 
 def audience_all(
@@ -84,19 +83,6 @@ def audience_from_index(index: DataFrame, basic: Sequence[int]) -> DataFrame:
     return hits.where(F.col("_n") == len(set(basic))).select("uid")
 
 
-def audience_any(profile: DataFrame, tags: DataFrame, tag_ids: Sequence[int]) -> DataFrame:
-    """Users that have any level-5 tag below the given tags, each user once.
-
-    Leaves up to a measured number are tested on the array in the scan, without a shuffle; more
-    leaves are joined.
-    """
-    leaves = leaves_of(tags, list(tag_ids)).withColumnRenamed("leaf_id", "tag_id")
-    few = leaves.limit(RULE_ROWS + 1).collect()
-    if len(few) <= RULE_ROWS:
-        return profile.where(F.arrays_overlap("tag_ids", lists.tag_array([r["tag_id"] for r in few]))).select("uid")
-    return exploded(profile).join(leaves, "tag_id", "left_semi").select("uid").distinct()
-
-
 def matching_keys(df: DataFrame, key: str, test: Column, first: int | None = None) -> DataFrame:
     """Distinct keys of the rows that pass; ``first`` asks for the smallest keys only."""
     keys = df.where(test).select(key).distinct()
@@ -154,16 +140,21 @@ def entitled(
     profile: DataFrame, user_grants: DataFrame, role_grants: DataFrame, principal: int,
     roles: Sequence[int], all_seeing_role: int = 1,
 ) -> DataFrame:
-    """``(uid, tag_id)`` rows a principal may see: own grants and role grants together.
+    """``(uid, tag_id)`` rows a principal may see: own grants and role grants together, each tag of a row once.
 
+    A measured number of grants is a mask on the array in the user's row, without a shuffle; more are joined.
     ``user_grants`` has ``principal, tag_id``; ``role_grants`` has ``role, tag_id``.
     """
-    rows = exploded(profile)
+    held = profile.select("uid", F.array_distinct("tag_ids").alias("tag_ids"))
     if all_seeing_role in roles:
-        return rows
+        return exploded(held)
     own = user_grants.where(F.col("principal") == principal).select("tag_id")
     shared = role_grants.where(F.col("role").isin(list(roles))).select("tag_id")
-    return rows.join(own.unionByName(shared).distinct(), "tag_id", "left_semi").select("uid", "tag_id")
+    grants = own.unionByName(shared).where(F.col("tag_id").isNotNull()).distinct()
+    few = small_copy(grants)
+    if few is None:
+        return exploded(held).join(grants, "tag_id", "left_semi").select("uid", "tag_id")
+    return exploded(held, F.array_intersect("tag_ids", lists.tag_array([row[0] for row in few.collect()])))
 
 
 def catalogue(tags: DataFrame, models: DataFrame, counts: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tagloom.operators import audience, profiles, tagging, tree
+from tagloom.operators import audience, bitmaps, profiles, tagging, tree
 from tagloom.plans.book import query
 from tagloom.plans.datasets import (
     PART_BASE, SQL_CYCLE, SQL_PAY, SQL_PROFILE_ROWS, SQL_TAGS, Data,
 )
 from tagloom.plans.registry import definitions
+from tagloom.session import cut_lineage
 from tagloom.sources.keyed import read_version, write_version
 
 _LISTED = "string_agg(CAST(tag_id AS VARCHAR), ',' ORDER BY tag_id)"
@@ -88,7 +89,9 @@ def prf_tag_index(d: Data):
   SELECT uid FROM f WHERE a AND b AND c
 """)
 def prf_audience_all(d: Data):
-    return audience.audience_all(d.profile, [333], [1], d.combined)
+    """A basic and a combined tag, from bitmaps."""
+    index = bitmaps.bitmap_index(d.profile)
+    return bitmaps.members(bitmaps.having_all(index, bitmaps.asked_groups(index, [333], [1], d.combined)))
 
 
 @query("prf_audience_page", f"""
@@ -97,23 +100,26 @@ def prf_audience_all(d: Data):
 """)
 def prf_audience_page(d: Data):
     """The page after a user, here after the first one."""
-    first = audience.audience_all(d.profile, [319, 334], size=1).first()
-    return audience.audience_all(d.profile, [319, 334], after=first["uid"] if first else None, size=10)
+    index = bitmaps.bitmap_index(d.profile)
+    found = cut_lineage(bitmaps.having_all(index, bitmaps.asked_groups(index, [319, 334])), "page")
+    first = bitmaps.members_page(found, None, 1).first()
+    return bitmaps.members_page(found, first["uid"] if first else None, 10)
 
 
 @query("prf_audience_all_basic", f"""
   WITH {SQL_PROFILE_ROWS} SELECT uid FROM profile_rows WHERE tag_id IN (319, 334) GROUP BY uid HAVING count(DISTINCT tag_id) = 2
 """)
 def prf_audience_all_basic(d: Data):
-    """Read from the stored index: only the asked tags' row groups are scanned."""
-    path = d.folder_for("index")
-    audience.tag_index(d.profile).write.parquet(path)
-    return audience.audience_from_index(d.spark.read.parquet(path), [319, 334])
+    """Read from the stored bitmaps: only the asked tags' row groups are scanned."""
+    path = d.folder_for("bitmaps")
+    bitmaps.write_index(d.profile, path)
+    index = d.spark.read.parquet(path)
+    return bitmaps.members(bitmaps.having_all(index, bitmaps.asked_groups(index, [319, 334])))
 
 
 @query("prf_audience_any", f"WITH {SQL_PROFILE_ROWS} SELECT DISTINCT uid FROM profile_rows WHERE tag_id IN (319, 320) OR tag_id IN (348, 349)")
 def prf_audience_any(d: Data):
-    return audience.audience_any(d.profile, d.tags, [318, 348, 349])
+    return bitmaps.members(bitmaps.below(bitmaps.bitmap_index(d.profile), d.tags, [318, 348, 349]))
 
 
 @query("prf_audience_count", f"""
@@ -121,7 +127,8 @@ def prf_audience_any(d: Data):
   SELECT count(*) AS users FROM u
 """)
 def prf_audience_count(d: Data):
-    return audience.audience_all(d.profile, [320, 335]).agg(F.count("*").alias("users"))
+    index = bitmaps.bitmap_index(d.profile)
+    return bitmaps.users(bitmaps.having_all(index, bitmaps.asked_groups(index, [320, 335])))
 
 
 @query("prf_tag_counts", f"""

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tagloom.functions import conditions
-from tagloom.operators import audience, profiles, tree
+from tagloom.operators import audience, bitmaps, profiles, tree
 from tagloom.operators.tagging import level5_rules
 from tagloom.plans import registry
 
@@ -160,7 +160,7 @@ def test_index_and_audiences_agree(spark, table, profile, tags):
     assert rows(audience.audience_all(profile, [319, 333])) == [(1,)]
     assert rows(audience.audience_from_index(audience.tag_index(profile), [319, 333])) == [(1,)]
     tagged = profiles.load_profile(table([(1, "11,21"), (2, "12"), (3, "22"), (4, "99")], "user_id int, tag_ids string"))
-    assert rows(audience.audience_any(tagged, tags, [10, 21])) == [(1,), (2,)]
+    assert rows(bitmaps.members(bitmaps.below(bitmaps.bitmap_index(tagged), tags, [10, 21]))) == [(1,), (2,)]
 
 
 def test_counts_and_share(profile):
