@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.bounds import small_copy
 from tagloom.functions import lists
 
 
@@ -56,8 +57,9 @@ def merge_results(results: Sequence[tuple[int, DataFrame]], profile: DataFrame,
     definitions place in the run's family give way; then every tag of the run is added, also one
     that the definitions do not know or place elsewhere.
 
-    Everything is joined by user.  Definitions only meet the old tags, by an inner join that Spark
-    broadcasts or splits by size; the lists gathered are a user's own tags.
+    Everything is joined by user.  Families of a measured size are masks on the array in the user's row, so that
+    the profile is read once and shuffled only if it is not stored by user; larger families meet the old tags by
+    an inner join that Spark broadcasts or splits by size.  The lists gathered are a user's own tags.
     """
     fresh = None
     for family, result in results:
@@ -67,15 +69,26 @@ def merge_results(results: Sequence[tuple[int, DataFrame]], profile: DataFrame,
         fresh = rows if fresh is None else fresh.unionByName(rows)
     per_user = fresh.groupBy("uid").agg(F.collect_set("_tag").alias("_add"), F.collect_set("_family").alias("_families"))
     asked = definitions.where(F.col("family").isin([family for family, _ in results])).select("tag_id", "family")
-    placed = profile.select("uid", F.explode("tag_ids").alias("tag_id")).join(asked, "tag_id")
-    held = placed.groupBy("uid").agg(F.collect_set(F.struct("tag_id", "family")).alias("_held"))
     old = profile.select("uid", F.col("tag_ids").alias("_old"))
-    joined = old.join(per_user, "uid", "full").join(held, "uid", "left")
     none = F.array().cast(lists.EMPTY)
-    gone = F.transform(
-        F.filter("_held", lambda x: F.array_contains(F.col("_families"), x["family"])), lambda x: x["tag_id"]
-    )
-    kept = F.array_except(F.coalesce("_old", none), F.coalesce(gone, none))
+    few = small_copy(asked)
+    if few is not None:
+        members: dict[int, set[int]] = {}
+        for tag, family in few.collect():  # a local relation is collected without a job
+            members.setdefault(family, set()).add(tag)
+        joined = old.join(per_user, "uid", "full")
+        kept = F.coalesce("_old", none)
+        for family, tags in members.items():
+            seen = F.coalesce(F.array_contains("_families", F.lit(family).cast("bigint")), F.lit(False))
+            kept = F.when(seen, F.array_except(kept, lists.tag_array(sorted(tags)))).otherwise(kept)
+    else:
+        placed = profile.select("uid", F.explode("tag_ids").alias("tag_id")).join(asked, "tag_id")
+        held = placed.groupBy("uid").agg(F.collect_set(F.struct("tag_id", "family")).alias("_held"))
+        joined = old.join(per_user, "uid", "full").join(held, "uid", "left")
+        gone = F.transform(
+            F.filter("_held", lambda x: F.array_contains(F.col("_families"), x["family"])), lambda x: x["tag_id"]
+        )
+        kept = F.array_except(F.coalesce("_old", none), F.coalesce(gone, none))
     return joined.select("uid", F.array_sort(F.array_union(kept, F.coalesce("_add", none))).alias("tag_ids"))
 
 

@@ -11,7 +11,7 @@ from tagloom.plans.datasets import (
 )
 from tagloom.plans.registry import definitions
 from tagloom.session import cut_lineage
-from tagloom.sources.keyed import read_version, write_version
+from tagloom.sources.bucketed import BucketedTable
 
 _LISTED = "string_agg(CAST(tag_id AS VARCHAR), ',' ORDER BY tag_id)"
 
@@ -69,13 +69,12 @@ def prf_merge_replace(d: Data):
   SELECT CAST(uid AS VARCHAR) AS user_id, {_LISTED} AS tag_ids FROM merged GROUP BY uid
 """)
 def prf_save(d: Data):
-    """Users the model did not see keep their row; every state is a new version on disk."""
-    root = d.folder_for("profile")
-    write_version(d.profile, root)
-    current = read_version(d.spark, root)
+    """Users the model did not see keep their row, and buckets without seen users their files."""
+    path = d.folder_for("profile")
+    store = BucketedTable(d.spark, f"profile_{path[-32:]}", "uid", 16).create(d.profile, path)
     narrow = _cycle(d).where(F.col("tag_id") <= 355)
-    write_version(profiles.save_merged(profiles.merge_replace(narrow, current, CYCLE_FAMILY), current), root)
-    return profiles.render_profile(read_version(d.spark, root))
+    store.change(narrow, lambda rows, new: profiles.save_merged(profiles.merge_replace(new, rows, CYCLE_FAMILY), rows))
+    return profiles.render_profile(store.read())
 
 
 @query("prf_tag_index", f"WITH {SQL_PROFILE_ROWS} SELECT tag_id, uid FROM profile_rows")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.operators import profiles
 from tagloom.operators.tagging import level5_rules
+from tagloom.sources.bucketed import BucketedTable
 from tagloom.sources.readers import open_source, tag_rule
 
 Model = Callable[[DataFrame, DataFrame], DataFrame]
@@ -57,3 +59,23 @@ def run_models(
     """The next profile table after running all models; errors are not swallowed."""
     results = [(run.tag_id, model_result(spark, tags, run, as_of)) for run in runs]
     return profiles.merge_results(results, profile, definitions(tags))
+
+
+def run_models_into(
+    store: BucketedTable, spark: SparkSession, tags: DataFrame, runs: list[Run], as_of: Column | None = None,
+) -> list[int]:
+    """Run all models and merge their results into stored profiles ``(uid, tag_ids)``; returns the touched buckets.
+
+    Only the buckets of users that a model saw are read and written, without a shuffle of the stored side.
+    """
+    results = [(run.tag_id, model_result(spark, tags, run, as_of)) for run in runs]
+    rows = reduce(DataFrame.unionByName, [
+        result.where(F.col("tag_id").isNotNull()).select("uid", F.lit(family).cast("bigint").alias("family"), F.col("tag_id").cast("bigint").alias("tag_id"))
+        for family, result in results
+    ])
+
+    def merge(profile: DataFrame, changes: DataFrame) -> DataFrame:
+        parts = [(family, changes.where(F.col("family") == family).select("uid", "tag_id")) for family, _ in results]
+        return profiles.merge_results(parts, profile, definitions(tags))
+
+    return store.change(rows, merge)
