@@ -89,11 +89,6 @@ def matching_keys(df: DataFrame, key: str, test: Column, first: int | None = Non
     return keys if first is None else keys.orderBy(key).limit(first)
 
 
-def page(df: DataFrame, key: str, number: int, size: int) -> DataFrame:
-    """Page ``number`` (from 1; below 1 means the first) in key order."""
-    return df.orderBy(key).offset((max(number, 1) - 1) * size).limit(size)
-
-
 def page_after(df: DataFrame, key: str, last_key, size: int) -> DataFrame:
     """The page after ``last_key``: deep pages cost no more than the first."""
     rest = df if last_key is None else df.where(F.col(key) > F.lit(last_key))

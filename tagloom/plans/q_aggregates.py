@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.functions import lists
-from tagloom.operators import audience, clustering, metrics, tagging
+from tagloom.operators import audience, clustering, metrics, pages, tagging
 from tagloom.plans.book import query
 from tagloom.plans.datasets import (
     RFM_COLUMNS, RFM_F, RFM_M, RFM_R, SQL_COMBINED, SQL_CYCLE, SQL_PAY, SQL_PROFILE_ROWS, SQL_PROFILE_TABLE,
@@ -173,7 +173,19 @@ def srt_multi_key(d: Data):
 
 @query("srt_page", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
 def srt_page(d: Data):
-    return audience.page(d.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey", 3, 50)
+    rows = d.table("orders").select("o_orderkey", "o_custkey")
+    return pages.numbered_page(rows, "o_orderkey", 3, 50, pages.page_directory(rows, "o_orderkey", 16))
+
+
+@query("srt_page_deep", """
+  SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey
+  LIMIT 40 OFFSET ((SELECT count(*) FROM orders) // 40 - 3) * 40
+""")
+def srt_page_deep(d: Data):
+    """The third page from the last full one: as cheap as the first."""
+    rows = d.table("orders").select("o_orderkey", "o_totalprice")
+    directory = pages.page_directory(rows, "o_orderkey")
+    return pages.numbered_page(rows, "o_orderkey", sum(r.rows for r in directory) // 40 - 2, 40, directory)
 
 
 @query("srt_page_after", """
