@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tagloom.bounds import small_copy
+from tagloom.operators.centres import train_centres
 from tagloom.operators.joins import match_values
 from tagloom.session import cut_lineage
 from tagloom.small import small_table
@@ -167,6 +168,20 @@ def score_cluster_tag(
     return cluster_tags(predicted, ranked_clusters(chain.stages[-1], kept), rules)
 
 
+def fixed_start_tag(
+    scores: DataFrame, columns: Sequence[str], rules: DataFrame, k: int, steps: int = 10, compress: bool = True,
+) -> DataFrame:
+    """``score_cluster_tag`` with clusters from a fixed start, so the same scores always give the same tags.
+
+    A user with a NULL score ends the job, as a rank without a rule does.
+    """
+    kept = cut_lineage(scores.select("uid", *columns), "scores")
+    vectors = cut_lineage(score_vectors(kept, columns), "vectors") if compress else kept.withColumn("weight", F.lit(1.0))
+    model = train_centres(vectors, columns, k, steps)
+    ranks = ranked_centres(scores.sparkSession, model.centres)
+    return cluster_tags(model.transform(kept).select("uid", "prediction"), ranks, rules)
+
+
 def cluster_bounds(scored: DataFrame, columns: Sequence[str], cluster: str = "prediction") -> DataFrame:
     """Least and greatest score sum of each cluster, in cluster order."""
     total = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
@@ -180,10 +195,10 @@ def cluster_bounds(scored: DataFrame, columns: Sequence[str], cluster: str = "pr
 def spending_power_tag(
     scores: DataFrame, rules: DataFrame, columns: Sequence[str], k: int = 7, max_iter: int = 20,
 ) -> DataFrame:
-    """Clusters in falling order of their score range; the n-th takes the n-th rule's tag."""
+    """Clusters from a fixed start, in falling order of their score range; the n-th takes the n-th rule's tag."""
     kept = cut_lineage(scores.select("uid", *columns), "scores")
-    vectors = cluster_vectors(kept, columns)
-    model = fit_kmeans(vectors, k, max_iter, weight="weight")
+    vectors = cut_lineage(score_vectors(kept, columns), "vectors")
+    model = train_centres(vectors, columns, k, max_iter)
     # k rows at most on either side
     bounds = cluster_bounds(model.transform(vectors), columns).collect()
     order = sorted(bounds, key=lambda b: (-b["max_score"], -b["min_score"], b["prediction"]))
@@ -192,5 +207,5 @@ def spending_power_tag(
         raise ValueError(f"{len(tags)} rules for {len(order)} clusters")
     table = [(b["prediction"], tag) for b, tag in zip(order, tags)]
     tag_of = small_table(scores.sparkSession, table, "prediction int, tag_id bigint")
-    predicted = model.transform(assembled(kept, columns)).select("uid", "prediction")
+    predicted = model.transform(kept).select("uid", "prediction")
     return predicted.join(tag_of, "prediction").select("uid", "tag_id")

@@ -345,6 +345,13 @@ SQL_RFE = """rfe AS (
     count(DISTINCT event_type || '/' || regexp_extract(props, '[0-9]+')) AS engagements
   FROM events GROUP BY user_id)"""
 
+SQL_RFE_SCORES = SQL_RFE + """, rfe_scores AS (
+  SELECT uid,
+    CAST(CASE WHEN recency <= 1 THEN 5 WHEN recency <= 2 THEN 4 WHEN recency <= 3 THEN 3 WHEN recency <= 7 THEN 2 ELSE 1 END AS DOUBLE) AS r_score,
+    CAST(CASE WHEN frequency >= 75 THEN 5 WHEN frequency >= 70 THEN 4 WHEN frequency >= 65 THEN 3 WHEN frequency >= 60 THEN 2 ELSE 1 END AS DOUBLE) AS f_score,
+    CAST(CASE WHEN engagements >= 70 THEN 5 WHEN engagements >= 65 THEN 4 WHEN engagements >= 62 THEN 3 WHEN engagements >= 56 THEN 2 ELSE 1 END AS DOUBLE) AS e_score
+  FROM rfe)"""
+
 SQL_LINES = """lines AS (
   SELECT l_orderkey AS order_id, l_returnflag || l_linestatus AS colour, p_type AS product
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
@@ -370,3 +377,26 @@ pay AS (
   SELECT uid, CAST(CASE code WHEN '1-URGENT' THEN 357 WHEN '2-HIGH' THEN 358 WHEN '3-MEDIUM' THEN 359
     ELSE 360 END AS BIGINT) AS tag_id
   FROM pay_best WHERE code <> '5-LOW')"""
+
+
+def sql_centres(name: str, source: str, columns: list[str], k: int, steps: int) -> str:
+    """KMeans steps from the diagonal of the box around the vectors of ``source``.
+
+    ``{name}_c`` and ``{name}_a`` followed by a number are the centres after so many steps and the vectors
+    with their nearest centre ``i`` and distance ``d``; ``{name}_v`` are the vectors with their weight.
+    """
+    listed = ", ".join(columns)
+    starts = ", ".join(f"min({c}) + (max({c}) - min({c})) * i / {max(k - 1, 1)} AS {c}" for c in columns)
+    distance = " + ".join(f"(v.{c} - c.{c}) * (v.{c} - c.{c})" for c in columns)
+    means = ", ".join(f"coalesce(round(sum(a.w * a.{c}) / sum(a.w), 9), any_value(c.{c})) AS {c}" for c in columns)
+    out = [
+        f"{name}_v AS MATERIALIZED (SELECT {listed}, count(*) AS w FROM {source} GROUP BY {listed})",
+        f"{name}_c0 AS MATERIALIZED (SELECT i, {starts} FROM {name}_v, range({k}) t(i) GROUP BY i)",
+    ]
+    for n in range(steps + 1):
+        if n:
+            out.append(f"{name}_c{n} AS MATERIALIZED (SELECT c.i, {means} FROM {name}_c{n - 1} c LEFT JOIN {name}_a{n - 1} a ON a.i = c.i GROUP BY c.i)")
+        out.append(f"""{name}_a{n} AS MATERIALIZED (
+    SELECT v.*, c.i, {distance} AS d FROM {name}_v v, {name}_c{n} c
+    QUALIFY row_number() OVER (PARTITION BY {", ".join(f"v.{c}" for c in columns)} ORDER BY {distance}, c.i) = 1)""")
+    return ",\n  ".join(out)

@@ -6,9 +6,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tagloom.operators import clustering, learning
+from tagloom.operators.centres import train_centres, train_each
 from tagloom.operators.metrics import rfm_metrics, weak_label
 from tagloom.plans.book import query
-from tagloom.plans.datasets import LABEL_COLOURS, LABEL_PRODUCTS, RFM_COLUMNS, SQL_RFM, SQL_RFM_SCORES, Data
+from tagloom.plans.datasets import LABEL_COLOURS, LABEL_PRODUCTS, RFM_COLUMNS, SQL_RFM, SQL_RFM_SCORES, Data, sql_centres
 from tagloom.plans.q_preparation import _hash
 from tagloom.plans.q_tags import coded, rfm_scores
 from tagloom.session import cut_lineage
@@ -72,18 +73,32 @@ def ml_kmeans(d: Data):
     return model.transform(vectors).select("vec_id", "prediction")
 
 
-@query("ml_kmeans_best_iter")
+def _cost_rows(d: Data):
+    return cut_lineage(clustering.score_vectors(rfm_scores(d), RFM_COLUMNS), "vectors")
+
+
+@query("ml_kmeans_best_iter", f"""
+  WITH {SQL_RFM_SCORES}, {sql_centres("t", "rfm_scores", RFM_COLUMNS, 5, 20)},
+  costs AS (SELECT 5 AS max_iter, round(sum(w * d), 6) AS cost FROM t_a5 UNION ALL SELECT 15, round(sum(w * d), 6) FROM t_a15
+    UNION ALL SELECT 20, round(sum(w * d), 6) FROM t_a20)
+  SELECT max_iter, cost, row_number() OVER (ORDER BY cost, max_iter) = 1 AS best FROM costs
+""")
 def ml_kmeans_best_iter(d: Data):
-    vectors = clustering.cluster_vectors(rfm_scores(d), RFM_COLUMNS)
-    model, costs = clustering.best_by_iterations(vectors, 5, weight="weight")
+    """One training shows the cost at every iteration limit; of equal costs the lower limit is the best."""
+    model = train_centres(_cost_rows(d), RFM_COLUMNS, 5, 20)
+    costs = [(n, round(model.costs[n], 6)) for n in (5, 15, 20)]
     best = min(costs, key=lambda c: c[1])[0]
     return d.small([(n, cost, n == best) for n, cost in costs], "max_iter int, cost double, best boolean")
 
 
-@query("ml_kmeans_best_k")
+@query("ml_kmeans_best_k", f"""
+  WITH {SQL_RFM_SCORES}, {", ".join(sql_centres(f"t{k}", "rfm_scores", RFM_COLUMNS, k, 10) for k in range(2, 11))}
+  {" UNION ALL ".join(f"SELECT {k} AS k, round(sum(w * d), 6) AS cost FROM t{k}_a10" for k in range(2, 11))}
+""")
 def ml_kmeans_best_k(d: Data):
-    vectors = clustering.cluster_vectors(rfm_scores(d), RFM_COLUMNS)
-    return d.small(clustering.cost_by_k(vectors, range(2, 11), weight="weight"), "k int, cost double")
+    ks = range(2, 11)
+    costs = [(k, round(model.costs[-1], 6)) for k, model in zip(ks, train_each(_cost_rows(d), RFM_COLUMNS, ks, 10))]
+    return d.small(costs, "k int, cost double")
 
 
 @query("ml_kmeans_silhouette")

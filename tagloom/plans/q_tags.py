@@ -13,7 +13,7 @@ from tagloom.plans import registry
 from tagloom.plans.book import query
 from tagloom.plans.datasets import (
     LABEL_COLOURS, LABEL_PRODUCTS, RFE_COLUMNS, RFE_E, RFE_F, RFE_R, RFM_COLUMNS, RFM_F, RFM_M, RFM_R,
-    SQL_CYCLE, SQL_LINES, SQL_PAY, SQL_PROFILE_ROWS, SQL_RFE, SQL_RFM, SQL_RFM_SCORES, SQL_USERS, Data,
+    SQL_CYCLE, SQL_LINES, SQL_PAY, SQL_PROFILE_ROWS, SQL_RFE, SQL_RFE_SCORES, SQL_RFM, SQL_RFM_SCORES, SQL_USERS, Data, sql_centres,
 )
 from tagloom.sources.models import load_or_train
 
@@ -96,14 +96,7 @@ def rfe_metrics(d: Data):
     return metrics.rfe_metrics(d.visits, d.events_as_of)
 
 
-@query("rfe_scores", f"""
-  WITH {SQL_RFE}
-  SELECT uid,
-    CAST(CASE WHEN recency <= 1 THEN 5 WHEN recency <= 2 THEN 4 WHEN recency <= 3 THEN 3 WHEN recency <= 7 THEN 2 ELSE 1 END AS DOUBLE) AS r_score,
-    CAST(CASE WHEN frequency >= 75 THEN 5 WHEN frequency >= 70 THEN 4 WHEN frequency >= 65 THEN 3 WHEN frequency >= 60 THEN 2 ELSE 1 END AS DOUBLE) AS f_score,
-    CAST(CASE WHEN engagements >= 70 THEN 5 WHEN engagements >= 65 THEN 4 WHEN engagements >= 62 THEN 3 WHEN engagements >= 56 THEN 2 ELSE 1 END AS DOUBLE) AS e_score
-  FROM rfe
-""")
+@query("rfe_scores", f"WITH {SQL_RFE_SCORES} SELECT * FROM rfe_scores")
 def rfe_scores_query(d: Data):
     return rfe_scores(d)
 
@@ -274,9 +267,19 @@ def coded(d: Data, rows):
     return lookup_default(rows, "product", d.products, "name", "id", "product_id")
 
 
-@query("tag_rfm_value")
+def _cluster_sql(views: str, source: str, columns: list[str], k: int, steps: int, first_tag: int) -> str:
+    """Users of ``source`` with the tag of their cluster's rank by centre sum."""
+    total, same = " + ".join(columns), " AND ".join(f"s.{c} = a.{c}" for c in columns)
+    return f"""
+  WITH {views}, {sql_centres("t", source, columns, k, steps)},
+  ranked AS (SELECT i, row_number() OVER (ORDER BY {total} DESC, i) - 1 AS rank FROM t_c{steps})
+  SELECT s.uid, CAST({first_tag} + rank AS BIGINT) AS tag_id FROM {source} s JOIN t_a{steps} a ON {same} JOIN ranked ON ranked.i = a.i
+"""
+
+
+@query("tag_rfm_value", _cluster_sql(SQL_RFM_SCORES, "rfm_scores", RFM_COLUMNS, 5, 10, 362))
 def tag_rfm_value(d: Data):
-    return clustering.score_cluster_tag(rfm_scores(d), RFM_COLUMNS, rules(d, 361), k=5)
+    return clustering.fixed_start_tag(rfm_scores(d), RFM_COLUMNS, rules(d, 361), k=5)
 
 
 @query("tag_rfm_value_scaled")
@@ -294,21 +297,30 @@ def tag_rfm_value_scaled(d: Data):
     )
 
 
-@query("tag_rfm_spending_power")
+@query("tag_rfm_spending_power", f"""
+  WITH {SQL_RFM_SCORES}, {sql_centres("t", "rfm_scores", RFM_COLUMNS, 7, 20)},
+  ends AS (SELECT i, min(r_score + f_score + m_score) AS low, max(r_score + f_score + m_score) AS high FROM t_a20 GROUP BY i),
+  ranked AS (SELECT i, row_number() OVER (ORDER BY high DESC, low DESC, i) - 1 AS rank FROM ends)
+  SELECT s.uid, CAST(390 + rank AS BIGINT) AS tag_id FROM rfm_scores s
+  JOIN t_a20 a ON s.r_score = a.r_score AND s.f_score = a.f_score AND s.m_score = a.m_score JOIN ranked ON ranked.i = a.i
+""")
 def tag_rfm_spending_power(d: Data):
     seven = d.small([(390 + i, str(i)) for i in range(7)], "tag_id bigint, rule string")
     return clustering.spending_power_tag(rfm_scores(d), seven, RFM_COLUMNS)
 
 
-@query("tag_rfe_activity")
+@query("tag_rfe_activity", _cluster_sql(SQL_RFE_SCORES, "rfe_scores", RFE_COLUMNS, 4, 10, 368))
 def tag_rfe_activity(d: Data):
-    return clustering.score_cluster_tag(rfe_scores(d), RFE_COLUMNS, rules(d, 367), k=4)
+    return clustering.fixed_start_tag(rfe_scores(d), RFE_COLUMNS, rules(d, 367), k=4)
+
+
+_PSM_VIEWS = _psm_sql("CASE WHEN off = 0 THEN 0 ELSE 1 END", ", psm AS (SELECT uid, coalesce(tdonr + tdar + adar, 0.00000001) AS psm_score FROM p)")
 
 
-@query("tag_psm_sensitivity")
+@query("tag_psm_sensitivity", _cluster_sql(_PSM_VIEWS.replace("WITH", "", 1), "psm", ["psm_score"], 5, 10, 373))
 def tag_psm_sensitivity(d: Data):
     scores = metrics.psm_scores(d.orders_with_coupons).select("uid", "psm_score")
-    return clustering.score_cluster_tag(scores, ["psm_score"], rules(d, 372), k=5, compress=False)
+    return clustering.fixed_start_tag(scores, ["psm_score"], rules(d, 372), k=5, compress=False)
 
 
 # A ranking of five clusters.
