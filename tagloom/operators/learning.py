@@ -8,12 +8,13 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, IndexToString, Normalizer, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import PCA, Normalizer, VectorAssembler, VectorIndexer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import portable_hash
+from tagloom.session import cut_lineage
 from tagloom.small import small_table
 
 SEED = 31
@@ -68,16 +69,35 @@ def normalized_vectors(df: DataFrame, source: str = "features", out: str = "norm
 
 
 def label_order(df: DataFrame, label: str) -> DataFrame:
-    """Label -> index by falling frequency, equal frequencies by label: ``(label, index)``."""
-    model = StringIndexer(inputCol=label, outputCol="index", stringOrderType="frequencyDesc").fit(df)
-    rows = [(value, float(i)) for i, value in enumerate(model.labels)]
-    return small_table(df.sparkSession, rows, "label string, index double")
+    """Label -> index by falling frequency, equal frequencies by label: ``(label, index)``; NULL is no label.
 
-
-def index_labels(df: DataFrame, label: str, out: str = "label_index"):
-    """Rows with their label index, and the step that turns an index back into its label."""
-    model = StringIndexer(inputCol=label, outputCol=out, stringOrderType="frequencyDesc").fit(df)
-    return model.transform(df), IndexToString(inputCol=out, outputCol=f"{label}_again", labels=model.labels)
+    The counted labels are dealt into ranges of the order and written; a label's index is its rank inside
+    its range plus the labels of the ranges before.  The driver hears one count a range, never the labels.
+    """
+    counted = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
+    order = [F.desc("n"), F.asc("label")]
+    ranged = counted.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    kept = cut_lineage(ranged, "labels")
+    before, starts = 0, []
+    for place, rows in sorted(tuple(r) for r in kept.groupBy("range").count().collect()):
+        starts.append((place, before))
+        before += rows
+    starts = small_table(df.sparkSession, starts, "range int, before bigint")
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    ranked = kept.withColumn("inside", inside).join(starts, "range")
+    return ranked.select("label", (F.col("before") + F.col("inside")).cast("double").alias("index"))
+
+
+def index_labels(df: DataFrame, label: str, order: DataFrame, out: str = "label_index") -> DataFrame:
+    """Rows with the index of their label in ``order``; NULL without a label, or with one that ``order`` lacks."""
+    known = order.select(F.col("label").alias(label), F.col("index").alias(out))
+    return df.join(known, label, "left")
+
+
+def labels_again(df: DataFrame, index: str, order: DataFrame, out: str) -> DataFrame:
+    """Rows with the label that an index stands for."""
+    known = order.select(F.col("index").alias(index), F.col("label").alias(out))
+    return df.join(known, index, "left")
 
 
 def tree_stages(

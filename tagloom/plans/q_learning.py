@@ -189,8 +189,9 @@ def ml_vector_index(d: Data):
 """)
 def ml_string_index(d: Data):
     rows = d.table("orders").select("o_orderkey", "o_orderpriority")
-    indexed, back = learning.index_labels(rows, "o_orderpriority")
-    return back.transform(indexed).withColumnRenamed("o_orderpriority_again", "again")
+    order = cut_lineage(learning.label_order(rows, "o_orderpriority"), "order")
+    indexed = learning.index_labels(rows, "o_orderpriority", order)
+    return learning.labels_again(indexed, "label_index", order, "again").select(*rows.columns, "label_index", "again")
 
 
 @query("ml_evaluate_multiclass", """

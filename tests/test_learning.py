@@ -151,6 +151,35 @@ def test_label_order_breaks_ties_by_label(table):
     assert rows(learning.label_order(df, "v")) == [("a", 2.0), ("b", 0.0), ("c", 1.0)]
 
 
+def test_label_order_equals_the_library(spark, table):
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.range(3000).select(F.concat(F.lit("v"), F.col("id") * F.col("id") % 211).alias("v"))
+    model = StringIndexer(inputCol="v", outputCol="i", stringOrderType="frequencyDesc").fit(df)
+    order = learning.label_order(df.unionByName(table([(None,)] * 9, "v string")), "v")
+    assert rows(order) == sorted([(v, float(i)) for i, v in enumerate(model.labels)], key=repr)
+    assert learning.label_order(df.limit(0), "v").count() == 0
+
+
+def test_many_labels_are_ranked_in_ranges(spark):
+    df = spark.range(100_000).select(F.col("id").cast("string").alias("v"))
+    order = learning.label_order(df.unionByName(df.where("v LIKE '77%'")), "v").cache()
+    got = order.agg(F.count("*"), F.countDistinct("index"), F.min("index"), F.max("index")).first()
+    assert tuple(got) == (100_000, 100_000, 0.0, 99_999.0)
+    twice = order.where("label LIKE '77%'").agg(F.max("index"), F.count("*")).first()
+    assert twice[0] == twice[1] - 1
+    assert order.where("index = 0").first()["label"] == "77"
+
+
+def test_labels_there_and_back(table):
+    df = table([(1, "b"), (2, "b"), (3, "a"), (4, None), (5, "new")], "id int, v string")
+    order = learning.label_order(df.where("id < 5"), "v")
+    indexed = learning.index_labels(df, "v", order)
+    assert rows(indexed, "id", "label_index") == [(1, 0.0), (2, 0.0), (3, 1.0), (4, None), (5, None)]
+    assert rows(learning.labels_again(indexed, "label_index", order, "again"), "id", "again") == [
+        (1, "b"), (2, "b"), (3, "a"), (4, None), (5, None)]
+
+
 def test_stored_model_is_loaded(spark, scores, folder):
     vectors = clustering.cluster_vectors(scores, COLUMNS)
     calls = []
