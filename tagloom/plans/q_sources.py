@@ -13,6 +13,7 @@ from tagloom.plans.book import query
 from tagloom.plans.datasets import RFM_COLUMNS, RFM_F, RFM_M, RFM_R, SQL_TAGS, Data
 from tagloom.session import cut_lineage
 from tagloom.sources import keyed, readers
+from tagloom.sources.appends import append_batch, appended
 from tagloom.sources.models import load_or_train
 
 @query("src_rule_dispatch", """
@@ -240,9 +241,10 @@ def sink_delete_by_key(d: Data):
 def sink_append(d: Data):
     path = d.folder_for("append")
     rows = d.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    rows.where("o_orderstatus = 'F'").write.mode("append").parquet(path)
-    rows.where("o_orderstatus <> 'F'").write.mode("append").parquet(path)
-    return d.spark.read.parquet(path)
+    append_batch(rows.where("o_orderstatus = 'F'"), path, 0)
+    append_batch(rows.where("o_orderstatus <> 'F'"), path, 1)
+    append_batch(rows.where("o_orderstatus = 'F'"), path, 0)  # a batch that runs again adds nothing
+    return appended(d.spark, path)
 
 
 @query("sink_stringify_sync", """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from tagloom.functions.rules import parse_rule
 
 Params = Mapping[str, str]
 
+#: Rows of a relational table that one task may read.
+ONE_TASK_ROWS = 5_000_000
+
 
 def fields(text: str) -> list[str]:
     return [name.strip() for name in text.split(",") if name.strip()]
@@ -69,22 +74,73 @@ def catalog_table(
     return df.select(*select) if select else df
 
 
+def key_bounds(ask: Callable[[str], DataFrame], table: str, key: str, parts: int) -> list:
+    """Where about equal parts of a table begin in key order, the first part left out; equal keys are in one part.
+
+    ``ask`` runs a subquery where the table lives, so only the bounds, at most ``parts``, come back.
+    """
+    dealt = f"( SELECT {key} AS low, NTILE({parts}) OVER (ORDER BY {key}) AS part FROM {table} WHERE {key} IS NOT NULL ) AS dealt"
+    found = ask(f"( SELECT part, MIN(low) AS low FROM {dealt} GROUP BY part ) AS bounds").collect()
+    return sorted({row["low"] for row in found})[1:]
+
+
+def _sql_literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (int, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    raise ValueError(f"cannot cut a key of type {type(value).__name__} into ranges")
+
+
+def range_predicates(key: str, bounds: Sequence) -> list[str]:
+    """One condition a part; every row meets exactly one, rows without a key the first.
+
+    Keys are numbers without rounding, dates or timestamps: texts may be ordered otherwise in the database.
+    """
+    marks = [_sql_literal(b) for b in bounds]
+    if not marks:
+        return ["1 = 1"]
+    inner = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(marks, marks[1:])]
+    return [f"{key} < {marks[0]} OR {key} IS NULL", *inner, f"{key} >= {marks[-1]}"]
+
+
 def relational(
-    spark: SparkSession, table: str, url: str | None = None, select: list[str] | None = None, **options
+    spark: SparkSession, table: str, url: str | None = None, select: list[str] | None = None,
+    key: str | None = None, parts: int = 32, **options,
 ) -> DataFrame:
     """A table, or a subquery ``( SELECT … ) AS name``, of a relational database.
 
-    Without a URL the same text is resolved by the session itself.  For large tables pass
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``; without them one
-    task reads everything.
+    Without a URL the same text is resolved by the session itself.  With ``key`` the database is asked for the
+    bounds of ``parts`` equal parts of it, and each part is read by a task of its own; ``partitionColumn``,
+    ``lowerBound``, ``upperBound`` and ``numPartitions`` do so by even steps.  With neither, one task reads
+    everything, so the table is counted first and one of more than ``ONE_TASK_ROWS`` rows is refused.
     """
     if url is None:
         df = spark.sql(f"SELECT * FROM {table}")
+        return df.select(*select) if select else df
+
+    def ask(text: str) -> DataFrame:
+        return spark.read.format("jdbc").options(url=url, dbtable=text, **options).load()
+
+    if key:
+        predicates = range_predicates(key, key_bounds(ask, table, key, parts))
+        df = spark.read.jdbc(url, table, predicates=predicates, properties=options)
     else:
-        df = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+        if "partitionColumn" not in options:
+            refuse_large(ask, table)
+        df = ask(table)
     return df.select(*select) if select else df
 
 
+def refuse_large(ask: Callable[[str], DataFrame], table: str) -> None:
+    """An error if ``table`` has too many rows for one task; the database counts them."""
+    rows = ask(f"( SELECT COUNT(*) AS n FROM {table} ) AS counted").first()["n"]
+    if rows > ONE_TASK_ROWS:
+        raise ValueError(f"{rows} rows in one task: name a key, or partitionColumn with its bounds, for {table}")
+
+
 def typed_lines(
     spark: SparkSession, path: str, columns: list[str], separator: str = "\t"
 ) -> DataFrame:
@@ -148,7 +204,7 @@ def _read_relational(spark, params, as_of):
     extra = {k: params[k] for k in ("driver", "user", "password", "partitionColumn", "lowerBound",
                                     "upperBound", "numPartitions") if k in params}
     table = f"( {params['sql']} ) AS tmp" if "sql" in params else params["dbTable"]
-    return relational(spark, table, params.get("url"), select or None, **extra)
+    return relational(spark, table, params.get("url"), select or None, params.get("partitionKey"), **extra)
 
 
 def _read_catalog(spark, params, as_of):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagloom import session
 from tagloom.plans.datasets import Data
 from tagloom.sources import keyed, readers
+from tagloom.sources.appends import append_batch, appended
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -59,6 +60,50 @@ def test_partitioned_jdbc_options_are_passed_on(spark):
         readers.relational(spark, "t", "jdbc:none://x", numPartitions="4").collect()
 
 
+@pytest.mark.parametrize("kind", ["bigint", "date", "decimal(10,2)", "timestamp_ntz"])
+def test_every_row_is_in_one_part_of_the_key(spark, kind):
+    shown = {"date": "date_add(DATE '2020-01-01', CAST(k AS INT))", "timestamp_ntz": "CAST(date_add(DATE '2020-01-01', CAST(k AS INT)) AS TIMESTAMP_NTZ)"}
+    base = spark.range(900).selectExpr("IF(id % 3 = 0, 7, id * id % 1009) AS k", "id").selectExpr(
+        f"IF(id % 50 = 1, NULL, CAST({shown.get(kind, 'k')} AS {kind})) AS k", "id")
+    base.createOrReplaceTempView("tagloom_ranged")
+    bounds = readers.key_bounds(lambda text: spark.sql(f"SELECT * FROM {text}"), "tagloom_ranged", "k", 8)
+    predicates = readers.range_predicates("k", bounds)
+    parts = [[r["id"] for r in base.where(p).select("id").collect()] for p in predicates]
+    assert 5 <= len(parts) <= 8 and sorted(i for part in parts for i in part) == list(range(900))
+    assert max(map(len, parts)) < 900 / 3 + 300  # a third of the rows share a key
+
+
+def test_parts_of_empty_constant_and_unorderable_keys(spark):
+    def bounds(text):
+        spark.sql(text).createOrReplaceTempView("tagloom_keys")
+        return readers.key_bounds(lambda t: spark.sql(f"SELECT * FROM {t}"), "tagloom_keys", "k", 4)
+
+    assert readers.range_predicates("k", bounds("SELECT 1 AS k FROM range(9)")) == ["1 = 1"]
+    assert readers.range_predicates("k", bounds("SELECT 1 AS k FROM range(0)")) == ["1 = 1"]
+    with pytest.raises(ValueError):
+        readers.range_predicates("k", bounds("SELECT CAST(id AS STRING) AS k FROM range(9)"))
+
+
+def test_a_large_table_is_not_read_by_one_task(spark, monkeypatch):
+    spark.range(20).createOrReplaceTempView("tagloom_counted")
+    ask = lambda text: spark.sql(f"SELECT * FROM {text}")
+    readers.refuse_large(ask, "tagloom_counted")
+    monkeypatch.setattr(readers, "ONE_TASK_ROWS", 19)
+    with pytest.raises(ValueError, match="20 rows"):
+        readers.refuse_large(ask, "tagloom_counted")
+
+
+def test_a_batch_is_appended_once(spark, table, folder):
+    with pytest.raises(FileNotFoundError):
+        appended(spark, folder)
+    append_batch(table([(1, "a"), (2, "b")], "k int, s string"), folder, 0)
+    append_batch(table([(3, "c")], "k int, s string").repartition(3), folder, 1)
+    append_batch(table([(1, "a"), (2, "b")], "k int, s string"), folder, 0)
+    assert rows(appended(spark, folder)) == [(1, "a"), (2, "b"), (3, "c")]
+    with pytest.raises(ValueError):
+        append_batch(table([], "k int, s string"), folder, -1)
+
+
 def test_upsert_replaces_cells_and_keeps_the_rest(table):
     now = table([(1, "a", 10), (2, "b", 20)], "k int, s string, n int")
     new = table([(2, None, 21), (3, "c", None)], "k int, s string, n int")
