@@ -22,6 +22,9 @@ from pyspark.storagelevel import StorageLevel
 #: Decimal places of a centre's coordinates.
 PLACES = 9
 
+#: Up to so many vectors a step is one task without an exchange; the centres are the same.
+FEW_ROWS = 50_000
+
 
 @dataclass(frozen=True)
 class Centres:
@@ -72,11 +75,10 @@ def _nearest_of_each(columns: Sequence[str], trials: Sequence[Sequence[Sequence[
     return F.transform(literal, of_trial)
 
 
-def box(vectors: DataFrame, columns: Sequence[str]) -> list[tuple[float, float]]:
-    """Least and greatest value of each column; empty if there are none."""
-    ends = vectors.agg(*[f(c).cast("double") for c in columns for f in (F.min, F.max)]).first()
-    ends = tuple(ends)  # ``in`` asks a row for a field
-    return [] if None in ends else list(zip(ends[::2], ends[1::2]))
+def box(vectors: DataFrame, columns: Sequence[str]) -> tuple[int, list[tuple[float, float]]]:
+    """The rows, and the least and greatest value of each column; none of no rows."""
+    rows, *ends = vectors.agg(F.count("*"), *[f(c).cast("double") for c in columns for f in (F.min, F.max)]).first()
+    return rows, list(zip(ends[::2], ends[1::2])) if rows else []
 
 
 def diagonal(corners: Sequence[tuple[float, float]], k: int) -> list[tuple[float, ...]]:
@@ -107,15 +109,16 @@ def train_each(vectors: DataFrame, columns: Sequence[str], ks: Sequence[int], st
     known = vectors.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(weight).cast("double").alias(weight))
     kept = known.dropna(subset=list(columns)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        corners = box(kept, columns)
+        rows, corners = box(kept, columns)
         if not all(isfinite(end) for ends in corners for end in ends):
             raise ValueError(f"values that are not finite in {', '.join(columns)}")
+        near = kept.coalesce(1) if rows <= FEW_ROWS else kept
         trials = [diagonal(corners, k) for k in ks]
         costs: list[list[float]] = [[] for _ in ks]
         moving = [n for n, centres in enumerate(trials) if centres]
         for step in range(steps + 1):
             still = []
-            for n, (moved, cost) in zip(moving, _step(kept, columns, weight, [trials[n] for n in moving]) if moving else []):
+            for n, (moved, cost) in zip(moving, _step(near, columns, weight, [trials[n] for n in moving]) if moving else []):
                 costs[n].append(cost)
                 if moved == trials[n]:
                     costs[n] += [cost] * (steps - step)

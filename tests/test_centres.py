@@ -52,6 +52,13 @@ def test_partitions_do_not_matter(spark):
     assert one.costs == pytest.approx(counted.costs)
 
 
+def test_one_task_and_many_give_the_same(spark, monkeypatch):
+    scores = run("rfm_scores", spark, SMALL).withColumn("weight", F.lit(1.0)).repartition(9, "uid")
+    near = centres.train_centres(scores, COLUMNS, 5, 10)
+    monkeypatch.setattr(centres, "FEW_ROWS", 10)
+    assert centres.train_centres(scores, COLUMNS, 5, 10).centres == near.centres
+
+
 def test_no_worse_than_sampled_starts_by_much(spark):
     vectors = clustering.cluster_vectors(run("rfm_scores", spark, SMALL), COLUMNS)
     ours = centres.train_centres(vectors, COLUMNS, 5, 20).costs[-1]
