@@ -141,7 +141,7 @@ def grid_rows(grid) -> list[tuple[int, str, int]]:
     return [(p["maxDepth"], p["impurity"], p["maxBins"]) for p in named]
 
 
-def counted_rows(df: DataFrame, columns: Sequence[str], key: str | None = None, folds: int = 0) -> DataFrame:
+def counted_rows(df: DataFrame, columns: Sequence[str], key: str | Sequence[str] | None = None, folds: int = 0) -> DataFrame:
     """Equal rows as one row with a ``weight``; with ``folds``, equal rows of the same fold.
 
     The fold is a hash of the row key and is drawn before counting, so weighted training and
@@ -149,7 +149,8 @@ def counted_rows(df: DataFrame, columns: Sequence[str], key: str | None = None,
     """
     if not folds:
         return df.groupBy(*columns).agg(F.count("*").cast("double").alias("weight"))
-    fold = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(folds)).cast("int").alias("fold")
+    keys = [key] if isinstance(key, str) else key
+    fold = (portable_hash(*keys, salt=SEED) % folds).cast("int").alias("fold")
     return df.select(*columns, fold).groupBy(*columns, "fold").agg(
         F.count("*").cast("double").alias("weight")
     )

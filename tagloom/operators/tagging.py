@@ -5,14 +5,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.dates import date_digits, days_since
 from tagloom.functions.rules import range_rule
 from tagloom.operators.joins import match_ranges, match_values
-from tagloom.operators.learning import counted_rows, cross_validated
+from tagloom.operators.learning import counted_rows
 from tagloom.operators.metrics import gender_by_share, usg_shares
+from tagloom.operators.trees import search_trees
 from tagloom.session import cut_lineage
 
 
@@ -76,26 +79,24 @@ def gender_counts_tag(counts: DataFrame, rules: DataFrame) -> DataFrame:
 
 def gender_model_tag(
     items: DataFrame, rules: DataFrame, folds: int = 3, depths=(5,), impurities=("gini", "entropy"),
-    bins=(32,),
+    bins=(32,), key: str | Sequence[str] = "key",
 ) -> DataFrame:
     """Shopping gender from item labels that a tuned tree predicts.
 
-    ``items`` has ``key, uid, label, colour_id, product_id``.  They are counted once per user and
+    ``items`` has the columns of ``key`` and ``uid, label, colour_id, product_id``.  They are counted once per user and
     combination and written; the tree is tuned on the few combinations, weighted, and every user's
     shares are sums of those counts.
     """
     features = ["colour_id", "product_id"]
-    counted = cut_lineage(counted_rows(items, ["uid", *features, "label"], "key", folds), "items")
+    counted = cut_lineage(counted_rows(items, ["uid", *features, "label"], key, folds), "items")
     combos = cut_lineage(
         counted.groupBy(*features, F.col("label").cast("double").alias("label"), "fold").agg(
             F.sum("weight").alias("weight")
         ),
         "combinations",
     )
-    model, _ = cross_validated(
-        combos, features, folds, "fold", "weight", depths=depths, impurities=impurities, bins=bins
-    )
-    shares = model.transform(counted).groupBy("uid").agg(
+    tree, depth, _ = search_trees(combos, features, range(folds), depths, impurities, bins, features, weight="weight")
+    shares = tree.transform(counted, depth=depth).groupBy("uid").agg(
         F.sum("weight").alias("total"),
         F.sum(F.when(F.col("prediction") == 0, F.col("weight")).otherwise(0)).alias("male"),
         F.sum(F.when(F.col("prediction") == 1, F.col("weight")).otherwise(0)).alias("female"),

@@ -356,6 +356,16 @@ SQL_LINES = """lines AS (
   SELECT l_orderkey AS order_id, l_returnflag || l_linestatus AS colour, p_type AS product
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
+def sql_items(folds: int) -> str:
+    """``items``: a row an order line, with coded colour and product, label and fold."""
+    return f"""{SQL_LINES}, items AS MATERIALIZED (
+    SELECT o_custkey AS uid, CASE WHEN colour IN ('RF', 'RO', 'NF') OR product IN ('PROMO', 'SMALL') THEN 1 ELSE 0 END AS label,
+      CASE colour {" ".join(f"WHEN '{name}' THEN {i}" for i, name in COLOURS)} ELSE 0 END AS colour_id,
+      CASE product {" ".join(f"WHEN '{name}' THEN {i}" for i, name in PRODUCTS)} ELSE 0 END AS product_id,
+      CAST('0x' || substr(md5(concat_ws(':', order_id, colour, product, '31')), 1, 15) AS BIGINT) % {folds} AS fold
+    FROM lines JOIN orders ON o_orderkey = order_id)"""
+
+
 SQL_CYCLE = """cycle_days AS (
   SELECT o_custkey AS uid, date_diff('day', CAST(max(o_orderdate) AS DATE),
     (SELECT CAST(max(o_orderdate) AS DATE) + 1 FROM orders)) AS days

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from tagloom.functions.text import portable_hash
 from tagloom.operators import clustering, learning
 from tagloom.operators.centres import train_centres, train_each
 from tagloom.operators.metrics import rfm_metrics, weak_label
+from tagloom.operators.trees import Trial, search_trees, train_trees
 from tagloom.plans.book import query
-from tagloom.plans.datasets import LABEL_COLOURS, LABEL_PRODUCTS, RFM_COLUMNS, SQL_RFM, SQL_RFM_SCORES, Data, sql_centres
+from tagloom.plans.datasets import LABEL_COLOURS, LABEL_PRODUCTS, RFM_COLUMNS, SQL_RFM, SQL_RFM_SCORES, Data, sql_centres, sql_items
 from tagloom.plans.q_preparation import _hash
 from tagloom.plans.q_tags import coded, rfm_scores
+from tagloom.plans.tree_sql import sql_scores, sql_trees
 from tagloom.session import cut_lineage
 
 TREE_COLUMNS = ["colour_id", "product_id"]
@@ -27,13 +30,17 @@ def embedded(d: Data):
 def counted_items(d: Data, folds: int = 0):
     """Order lines by colour, product and label, counted; coded for the tree."""
     items = d.lines.select(
-        F.xxhash64("order_id", "colour", "product").alias("key"), "colour", "product",
+        "order_id", "colour", "product",
         weak_label("colour", "product", LABEL_COLOURS, LABEL_PRODUCTS).cast("double").alias("label"),
     )
-    counted = learning.counted_rows(items, ["colour", "product", "label"], "key", folds)
+    counted = learning.counted_rows(items, ["colour", "product", "label"], ["order_id", "colour", "product"], folds)
     return cut_lineage(coded(d, counted), "items")
 
 
+def _counted_sql(folds: int) -> str:
+    return f"{sql_items(folds)}, counted AS (SELECT colour_id, product_id, label, fold, count(*) AS w FROM items GROUP BY ALL)"
+
+
 @query("ml_assemble", f"WITH {SQL_RFM_SCORES} SELECT uid, r_score || ',' || f_score || ',' || m_score AS features FROM rfm_scores")
 def ml_assemble(d: Data):
     vectors = clustering.assembled(rfm_scores(d), RFM_COLUMNS)
@@ -117,53 +124,79 @@ def agg_cluster_sizes(d: Data):
     return clustering.cluster_sizes(predicted)
 
 
-@query("ml_decision_tree")
+_PARTS = [f"e{i}" for i in range(64)]
+
+
+@query("ml_decision_tree", f"""
+  WITH s AS (SELECT vec_id, label, 1 AS w, CASE WHEN {_hash("vec_id")} % 100 < 80 THEN 0 ELSE 1 END AS fold,
+    {", ".join(f"embedding[{i + 1}] AS {c}" for i, c in enumerate(_PARTS))} FROM embeddings),
+  {sql_trees("t", "s", _PARTS, [("gini", 32, 1)], 5, range(10), bounds="fold = 0")}
+  SELECT vec_id, CAST(label AS DOUBLE) AS label, prediction FROM t_p5 JOIN t_x USING (id) WHERE fold = 1
+""")
 def ml_decision_tree(d: Data):
     """Trained on the training rows only, applied to the others."""
-    train, test = learning.split_by_key(embedded(d).withColumnRenamed("features", "raw"), "vec_id", 80)
-    _, tree = learning.tree_stages([], maxDepth=5, maxBins=32, impurity="gini")
-    model = tree.fit(train.withColumnRenamed("raw", "features"))
-    return model.transform(test.withColumnRenamed("raw", "features")).select("vec_id", "label", "prediction")
+    values = F.col("embedding").cast("array<double>")
+    rows = d.table("embeddings").select("vec_id", F.col("label").cast("double"), *[F.get(values, i).alias(c) for i, c in enumerate(_PARTS)])
+    train, test = learning.split_by_key(rows, "vec_id", 80)
+    (tree,), _ = train_trees(train, _PARTS, [Trial("gini", 32)], 5)
+    return tree.transform(test).select("vec_id", "label", "prediction")
 
 
-@query("ml_pipeline")
+@query("ml_pipeline", f"""
+  WITH {_counted_sql(5)}, {sql_trees("t", "counted", TREE_COLUMNS, [("gini", 32, 4)], 5, categorical=True)}
+  SELECT CAST(label AS DOUBLE) AS label, prediction, CAST(sum(w) AS BIGINT) AS items FROM t_p5 JOIN t_x USING (id) WHERE fold = 4 GROUP BY ALL
+""")
 def ml_pipeline(d: Data):
-    """Assemble, index and classify as one chain; weighted accuracy on the items left out."""
+    """Code, count and classify as one chain; the label and prediction of the items left out."""
     items = counted_items(d, folds=5)
-    chain, _ = learning.tree_stages(TREE_COLUMNS, weight="weight", maxDepth=5, maxBins=32)
-    model = chain.fit(items.where("fold < 4"))
-    tested = model.transform(items.where("fold = 4"))
+    (tree,), _ = train_trees(items.where("fold < 4"), TREE_COLUMNS, [Trial()], 5, TREE_COLUMNS, weight="weight")
+    tested = tree.transform(items.where("fold = 4"))
     return tested.groupBy("label", "prediction").agg(F.sum("weight").cast("bigint").alias("items"))
 
 
-@query("ml_cross_validate")
+_FOLD_TRIALS = [(kind, 32, out) for kind in ("gini", "entropy") for out in range(3)]
+
+
+@query("ml_cross_validate", f"""
+  WITH {_counted_sql(3)}, {sql_trees("t", "counted", TREE_COLUMNS, _FOLD_TRIALS, 5, categorical=True)}
+  {sql_scores("t", [2, 5])}
+""")
 def ml_cross_validate(d: Data):
-    items = counted_items(d, folds=3)
-    _, scores = learning.cross_validated(
-        items, TREE_COLUMNS, folds=3, fold="fold", weight="weight", depths=(2, 5), impurities=("gini", "entropy"), bins=(32,)
+    """Mean accuracy on three folds, each left out once."""
+    _, _, scores = search_trees(
+        counted_items(d, folds=3), TREE_COLUMNS, range(3), (2, 5), ("gini", "entropy"), (32,), TREE_COLUMNS, weight="weight"
     )
     return d.small(scores, "depth int, impurity string, bins int, accuracy double")
 
 
-@query("ml_train_validation_split")
+@query("ml_train_validation_split", f"""
+  WITH {SQL_RFM_SCORES}, counted AS (SELECT r_score, f_score, m_score, c_nationkey % 2 AS label, {_hash("uid")} % 5 AS fold, count(*) AS w
+    FROM rfm_scores JOIN customer ON c_custkey = uid GROUP BY ALL),
+  {sql_trees("t", "counted", RFM_COLUMNS, [("gini", 32, 4)], 5)}
+  {sql_scores("t", [2, 5])}
+""")
 def ml_train_validation_split(d: Data):
-    rows = rfm_scores(d).join(d.users.select("uid", "nationality"), "uid").withColumn(
-        "label", (F.col("nationality") % 2).cast("double")
+    """Four fifths of the users train, the accuracy is that on the others."""
+    users = rfm_scores(d).join(d.users.select("uid", (F.col("nationality") % 2).cast("double").alias("label")), "uid")
+    rows = users.withColumn("fold", (portable_hash("uid") % 5).cast("int")).groupBy(*RFM_COLUMNS, "label", "fold").agg(
+        F.count("*").alias("weight")
     )
-    rows = cut_lineage(rows.select(*RFM_COLUMNS, "label"), "rows")
-    _, scores = learning.train_validated(rows, RFM_COLUMNS, 0.8, depths=(2, 5), impurities=("gini",), bins=(32,))
+    _, _, scores = search_trees(rows, RFM_COLUMNS, [4], (2, 5), weight="weight")
     return d.small(scores, "depth int, impurity string, bins int, accuracy double")
 
 
-@query("ml_param_grid")
+_GRID_TRIALS = [(kind, bins, None) for kind in ("gini", "entropy") for bins in (32, 64)]
+
+
+@query("ml_param_grid", f"""
+  WITH {_counted_sql(1)}, {sql_trees("t", "counted", TREE_COLUMNS, _GRID_TRIALS, 10, categorical=True)}
+  {sql_scores("t", [5, 10])}
+""")
 def ml_param_grid(d: Data):
     """Every grid point trained on the counted items, with its weighted training accuracy."""
-    items = counted_items(d)
-    chain, tree = learning.tree_stages(TREE_COLUMNS, weight="weight")
-    grid = learning.tree_grid(tree)
-    scorer = learning.evaluator(weight="weight")
-    models = chain.fit(items, grid)
-    rows = [point + (float(scorer.evaluate(m.transform(items))),) for point, m in zip(learning.grid_rows(grid), models)]
+    trials = [Trial(*point) for point in _GRID_TRIALS]
+    _, found = train_trees(counted_items(d), TREE_COLUMNS, trials, 10, TREE_COLUMNS, weight="weight", depths=(5, 10))
+    rows = [(depth, trials[n].impurity, trials[n].bins, round(share, 9)) for (n, depth), share in found.items()]
     return d.small(rows, "depth int, impurity string, bins int, accuracy double")
 
 

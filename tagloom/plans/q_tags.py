@@ -13,8 +13,9 @@ from tagloom.plans import registry
 from tagloom.plans.book import query
 from tagloom.plans.datasets import (
     LABEL_COLOURS, LABEL_PRODUCTS, RFE_COLUMNS, RFE_E, RFE_F, RFE_R, RFM_COLUMNS, RFM_F, RFM_M, RFM_R,
-    SQL_CYCLE, SQL_LINES, SQL_PAY, SQL_PROFILE_ROWS, SQL_RFE, SQL_RFE_SCORES, SQL_RFM, SQL_RFM_SCORES, SQL_USERS, Data, sql_centres,
+    SQL_CYCLE, SQL_LINES, SQL_PAY, SQL_PROFILE_ROWS, SQL_RFE, SQL_RFE_SCORES, SQL_RFM, SQL_RFM_SCORES, SQL_USERS, Data, sql_centres, sql_items,
 )
+from tagloom.plans.tree_sql import sql_scores, sql_trees
 from tagloom.sources.models import load_or_train
 
 
@@ -249,16 +250,29 @@ def tag_usg_rule(d: Data):
     return tagging.gender_counts_tag(per_user, rules(d, 378))
 
 
-@query("tag_usg_model")
+_USG_TRIALS = [(kind, 32, out) for kind in ("gini", "entropy") for out in (0, 1, 2, None)]
+
+
+@query("tag_usg_model", f"""
+  WITH {sql_items(3)}, counted AS (SELECT colour_id, product_id, label, fold, count(*) AS w FROM items GROUP BY ALL),
+  {sql_trees("t", "counted", ["colour_id", "product_id"], _USG_TRIALS, 5, categorical=True)},
+  scored AS ({sql_scores("t", [5], left_out_only=True)}),
+  best AS (SELECT trial FROM t_t WHERE left_out IS NULL
+    AND kind = (SELECT impurity FROM scored ORDER BY accuracy DESC, impurity DESC LIMIT 1)),
+  guessed AS (SELECT DISTINCT colour_id, product_id, prediction FROM t_p5 JOIN best USING (trial) JOIN t_x USING (id)),
+  s AS (SELECT uid, avg(CASE WHEN prediction = 0 THEN 1.0 ELSE 0.0 END) AS male, avg(CASE WHEN prediction = 1 THEN 1.0 ELSE 0.0 END) AS female
+    FROM items JOIN guessed USING (colour_id, product_id) GROUP BY uid)
+  SELECT uid, CAST(CASE WHEN male >= 0.6 THEN 379 WHEN female >= 0.6 THEN 380 ELSE 381 END AS BIGINT) AS tag_id FROM s
+""")
 def tag_usg_model(d: Data):
     """Items get the label a tuned tree predicts from their colour and product."""
     lines = coded(d, d.lines.withColumn(
         "label", metrics.weak_label("colour", "product", LABEL_COLOURS, LABEL_PRODUCTS)
     ))
     items = lines.join(d.orders.select("order_id", "uid"), "order_id").select(
-        F.xxhash64("order_id", "colour", "product").alias("key"), "uid", "label", "colour_id", "product_id"
+        "order_id", "colour", "product", "uid", "label", "colour_id", "product_id"
     )
-    return tagging.gender_model_tag(items, rules(d, 378))
+    return tagging.gender_model_tag(items, rules(d, 378), key=["order_id", "colour", "product"])
 
 
 def coded(d: Data, rows):
