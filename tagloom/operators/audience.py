@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DateType, DecimalType, IntegerType, LongType, ShortType, StringType
 
 from tagloom.bounds import small_copy
 from tagloom.functions import lists, text
@@ -83,10 +84,46 @@ def audience_from_index(index: DataFrame, basic: Sequence[int]) -> DataFrame:
     return hits.where(F.col("_n") == len(set(basic))).select("uid")
 
 
+#: Keys that Arrow and Spark order and tell apart alike.
+_ALIKE = (ByteType, ShortType, IntegerType, LongType, DateType, DecimalType)
+
+
+def least_keys(keys: DataFrame, n: int) -> DataFrame:
+    """At most the ``n`` smallest different keys of each partition of a single column, NULL first.
+
+    A task keeps ``n`` keys and one batch, however many rows it reads and however often they repeat a key.
+    """
+    name = keys.columns[0]
+
+    def least(batches):
+        import pyarrow as pa  # the function travels to the tasks by value
+        import pyarrow.compute as pc
+
+        kept = None
+        for batch in batches:
+            found = batch.column(0).unique()
+            found = found if kept is None else pa.concat_arrays([kept, found]).unique()
+            order = pc.array_sort_indices(found, null_placement="at_start")
+            kept = found.take(order.slice(0, n))
+        if kept is not None:
+            yield pa.RecordBatch.from_arrays([kept], names=[name])
+
+    return keys.mapInArrow(least, keys.schema)
+
+
 def matching_keys(df: DataFrame, key: str, test: Column, first: int | None = None) -> DataFrame:
-    """Distinct keys of the rows that pass; ``first`` asks for the smallest keys only."""
-    keys = df.where(test).select(key).distinct()
-    return keys if first is None else keys.orderBy(key).limit(first)
+    """Distinct keys of the rows that pass; ``first`` asks for the smallest keys only, NULL before all.
+
+    Then a task sends on at most ``first`` keys; keys of other types than whole numbers, decimals, plain
+    texts and dates are made distinct as a whole.
+    """
+    keys = df.where(test).select(key)
+    if first is None:
+        return keys.distinct()
+    kind = keys.schema[0].dataType
+    if first > 0 and (isinstance(kind, _ALIKE) or kind == StringType()):
+        keys = least_keys(keys, first)
+    return keys.distinct().orderBy(key).limit(first)
 
 
 def page_after(df: DataFrame, key: str, last_key, size: int) -> DataFrame:

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan_text, rows
 from pyspark.sql import functions as F
 
 from tagloom.functions import conditions
@@ -181,6 +181,26 @@ def test_first_matching_keys(table):
     assert rows(audience.matching_keys(df, "k", test, first=2)) == [(1,), (3,)]
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "decimal(20,2)", "date", "double"])
+def test_first_keys_are_those_of_a_full_sort(spark, kind):
+    number = F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id") * 37 % 211 - 100)
+    key = F.date_add(F.lit("2020-01-01"), number.cast("int")) if kind == "date" else number.cast(kind)
+    df = spark.range(0, 3000, 1, 7).select("id", key.alias("k"))
+    for n in (0, 1, 5, 400):
+        expected = df.where("id % 3 = 0").select("k").distinct().orderBy("k").limit(n)
+        got = audience.matching_keys(df, "k", F.col("id") % 3 == 0, first=n)
+        assert got.schema == expected.schema and [tuple(r) for r in got.collect()] == [tuple(r) for r in expected.collect()]
+    assert audience.matching_keys(df, "k", F.lit(False), first=5).count() == 0
+
+
+def test_first_keys_send_on_no_more_than_was_asked_for(spark):
+    keys = spark.range(0, 90_000, 1, 6).select((F.col("id") * 7919 % 40_000).alias("k"))
+    sent = audience.least_keys(keys, 10).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert [r["count"] for r in sent] == [10] * 6
+    plan = plan_text(audience.matching_keys(keys, "k", F.lit(True), first=10))
+    assert plan.index("Exchange") < plan.index("MapInArrow")  # the tree of the plan is read from below
+
+
 def test_entitlement(table, profile):
     own = table([(7, 319)], "principal bigint, tag_id bigint")
     role = table([(2, 348), (3, 333)], "role bigint, tag_id bigint")
