@@ -1,4 +1,4 @@
-"""Byte-level BPE: ranked merges over the bytes of distinct words, and decoding."""
+"""Byte-level BPE: ranked merges over the bytes of distinct words, many words a step, and decoding."""
 
 from __future__ import annotations
 
@@ -18,6 +18,9 @@ from tagloom.llm.vectors import slices, small_batches
 REMEMBERED = 100_000
 REMEMBERED_BYTES = 64
 _LONG = 128
+#: Bytes of words that are folded at once.
+_AT_ONCE = 1 << 18
+_NO_RANK = (1 << 31) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -83,8 +86,70 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Merges:
+    """``fold`` for many words at once: words of one length are rows of a matrix, and every step merges one pair a row."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.top = max(ranks.values(), default=-1)
+        bytes_only = {bytes([i]): self.top + 1 + i for i in range(256)}  # a byte without a rank may still be part of a merge
+        known = {**bytes_only, **ranks}
+        found = [
+            (known[token[:i]] << 32 | known[token[i:]], rank)
+            for token, rank in ranks.items() for i in range(1, len(token)) if token[:i] in known and token[i:] in known
+        ]
+        self.pairs, self.ids = np.array(sorted(found) or [(_NO_RANK << 32, 0)], dtype=np.int64).T.copy()
+        self.byte = np.array([known[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.first = self._rank(self.byte[:, None], self.byte[None, :])
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.ids[at], _NO_RANK)
+
+    def fold(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of each word; words are not empty."""
+        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(i)
+        for length, places in by_length.items():
+            rows = max(1, _AT_ONCE // length)
+            for start in range(0, len(places), rows):
+                some = places[start : start + rows]
+                self._fold(np.frombuffer(b"".join([words[i] for i in some]), np.uint8).reshape(len(some), length), some, out)
+        return out
+
+    def _fold(self, line: np.ndarray, places: list[int], out: list[np.ndarray]) -> None:
+        ids, order, place = self.byte[line], self.first[line[:, :-1], line[:, 1:]], np.array(places)
+        while len(ids):
+            if order.shape[1]:
+                at = order.argmin(axis=1)
+                least = order[np.arange(len(order)), at]
+                ended = least == _NO_RANK
+            else:
+                ended = np.ones(len(ids), dtype=bool)
+            if ended.any():
+                whole = ids[ended]
+                if whole.max() > self.top:
+                    raise KeyError("a byte that has no rank is in no merge")
+                for i, row in zip(place[ended].tolist(), whole.astype(np.int32)):
+                    out[i] = row
+                if ended.all():
+                    return
+                ids, order, place, at, least = ids[~ended], order[~ended], place[~ended], at[~ended], least[~ended]
+            rows, column = np.arange(len(ids)), np.arange(ids.shape[1])
+            ids[rows, at] = least
+            ids = ids[column != at[:, None] + 1].reshape(len(ids), -1)
+            order = order[column[:-1] != at[:, None]].reshape(len(ids), -1)
+            some = np.flatnonzero(at > 0)
+            order[some, at[some] - 1] = self._rank(ids[some, at[some] - 1], ids[some, at[some]])
+            some = np.flatnonzero(at < order.shape[1])
+            order[some, at[some]] = self._rank(ids[some, at[some]], ids[some, at[some] + 1])
+
+
 def _encoding(ranks: dict[bytes, int]):
     """Adds each row's ids, from its words: a slice's distinct words are folded, then taken by row."""
+    merges = Merges(ranks)
     held: dict[bytes, np.ndarray] = {}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,16 +158,19 @@ def _encoding(ranks: dict[bytes, int]):
             coded = words.flatten().cast(pa.large_binary()).dictionary_encode()
             if isinstance(coded, pa.ChunkedArray):
                 coded = coded.combine_chunks()
-            found = []
-            for word in coded.dictionary.to_pylist():
-                ids = held.get(word)
-                if ids is None:
-                    ids = np.array(fold(word, ranks), dtype=np.int32)
-                    if len(word) <= REMEMBERED_BYTES:
-                        if len(held) >= REMEMBERED:
-                            held.clear()
-                        held[word] = ids
-                found.append(ids)
+            distinct = coded.dictionary.to_pylist()
+            found = [held.get(word) for word in distinct]
+            new = [i for i, ids in enumerate(found) if ids is None]
+            short = [i for i in new if 1 < len(distinct[i]) <= _LONG and distinct[i] not in ranks]
+            for i, ids in zip(short, merges.fold([distinct[i] for i in short])):
+                found[i] = ids
+            for i in new:
+                if found[i] is None:
+                    found[i] = np.array(fold(distinct[i], ranks), dtype=np.int32)
+                if len(distinct[i]) <= REMEMBERED_BYTES:
+                    if len(held) >= REMEMBERED:
+                        held.clear()
+                    held[distinct[i]] = found[i]
             sizes = np.array([len(x) for x in found], dtype=np.int64)
             pool = np.concatenate(found or [np.empty(0, np.int32)])
             place = np.cumsum(sizes) - sizes

@@ -9,6 +9,7 @@ import sys
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -91,6 +92,25 @@ def test_presence_kernel_by_hand():
     assert len(language.grams("12", symbols, last)) == 0 and len(language.grams(None, symbols, last)) == 0
 
 
+def test_many_words_fold_as_one_by_one(ranks, monkeypatch):
+    """The words of a slice are folded together, to the ids of ``fold``; only those that need no step or are long go one by one."""
+    rng = random.Random(5)
+    made = ["".join(rng.choice("abcdeinorst é漢\n'1!") for _ in range(rng.randrange(2, 60))) for _ in range(400)] + ["a", "", "the", "ab" * 64, "aaaa" * 9]
+    words = [word.encode() for word in made]
+    want = [byte_pairs.fold(word, ranks) if word else [] for word in words]
+    few = {b"a": 3, b"b": 1, b"ab": 0, b"ba": 5, b"abab": 2, b"xy": 4}  # the bytes of a merge need no rank
+    short = [b"ababab", b"xyab", b"baab", b"abxyba", b"bb"]
+    assert [x.tolist() for x in byte_pairs.Merges(few).fold(short)] == [byte_pairs.fold(word, few) for word in short]
+    with pytest.raises(KeyError):
+        byte_pairs.Merges(few).fold([b"xab"])
+    one, alone = byte_pairs.fold, []
+    monkeypatch.setattr(byte_pairs, "fold", lambda word, ranks: alone.append(word) or one(word, ranks))
+    batch = pa.RecordBatch.from_arrays([pa.array([[word] for word in made])], ["words"])
+    got = [row for out in byte_pairs._encoding(ranks)(iter([batch])) for row in out.column(0).to_pylist()]
+    assert got == want
+    assert all(word in ranks or len(word) < 2 or len(word) > 128 for word in alone)
+
+
 def toxic_rows(seed, n):
     rng = random.Random(seed)
     calm = ["".join(rng.choices("the re on in an er to is at or".split(), k=2)) for _ in range(150)]
