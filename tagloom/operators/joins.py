@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from tagloom.bounds import small_copy
+from tagloom.bounds import RULE_ROWS, small_copy
 from tagloom.small import small_table
 
 
@@ -79,17 +79,23 @@ def interval_lookup(
     Both sides may be large.  An interval of width ``w`` belongs to the power-of-two grid whose
     cells are at least ``w`` wide, so it touches at most two cells; a point looks into its cell of
     each grid in use (at most 64).  That gives an equi-join whose size does not depend on how wide
-    the intervals are.  ``salts`` spreads a crowded cell over several tasks.  With ``how="left"``
-    points outside every interval are kept with NULLs.
+    the intervals are.  ``salts`` spreads a crowded cell over several tasks.  Up to ``RULE_ROWS``
+    intervals, counted, are broadcast; more are shuffled, as Spark estimates the placed intervals from
+    those it reads, without their cells and salts.  With ``how="left"`` points outside every interval
+    are kept with NULLs.
     """
     sized = intervals.where(F.col(lo) <= F.col(hi)).withColumn(
         "_level", _level(F.col(hi) - F.col(lo) + 1)
     )
-    levels = sorted(row[0] for row in sized.select("_level").distinct().collect()) or [0]
+    counted = {row["_level"]: row["count"] for row in sized.groupBy("_level").count().collect()}
+    levels = sorted(counted) or [0]
+    few = sum(counted.values()) <= RULE_ROWS
+    salts = 1 if few else salts
     cells = [F.expr(f"shiftright(cast(`{end}` as bigint), _level)") for end in (lo, hi)]
     placed = sized.withColumn("_cell", F.explode(F.array_distinct(F.array(*cells))))
     if salts > 1:
         placed = placed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    placed = F.broadcast(placed) if few else placed.hint("merge")
     if how == "left":
         values = points.select(F.col(point).alias("_point")).where(F.col(point).isNotNull()).distinct()
         found = _grid_join(values, "_point", placed, lo, hi, levels, salts)

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import plan_text, rows
+from pyspark.sql import functions as F
 
 from tagloom import bounds
 from tagloom.operators import joins
@@ -64,6 +65,19 @@ def test_ranges_above_the_bound_do_not_broadcast_blindly(table, monkeypatch):
     assert rows(small) == rows(large)
 
 
+def test_placed_intervals_are_broadcast_only_when_counted_few(spark):
+    """Spark takes the placed intervals, with their cells and salts, for as small as the ones it reads."""
+    points = spark.range(9000).select("id", (F.col("id") * 7 % 5000).alias("p"))
+    ranges = spark.range(2500).select((F.col("id") * 2).alias("lo"), (F.col("id") * 2 + F.col("id") % 2).alias("hi"))
+    many = joins.interval_lookup(points, "p", ranges, "lo", "hi", how="inner")
+    assert "BroadcastExchange" not in plan_text(many)
+    want = sorted((i, i * 7 % 5000) for i in range(9000) if i * 7 % 5000 % 2 == 0 or (i * 7 % 5000) // 2 % 2)
+    assert rows(many, "id", "p") == sorted(want, key=repr)
+    few = joins.interval_lookup(points, "p", ranges.where("lo < 4000"), "lo", "hi", how="inner")
+    assert "BroadcastHashJoin" in plan_text(few) and "_salt" not in plan_text(few)
+    assert rows(few, "id", "p") == sorted([(i, p) for i, p in want if p < 4000], key=repr)
+
+
 def test_small_copy(spark):
     assert rows(bounds.small_copy(spark.range(10), 10)) == [(i,) for i in range(10)]
     assert "LocalTableScan" in plan_text(bounds.small_copy(spark.range(3), 10))
