@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import cut_lineage
+
 DEPTH = 5
 PATH_SEPARATOR = " --- "
 
@@ -21,7 +23,10 @@ def level_lineages(tags: DataFrame, level: int) -> DataFrame:
     node = tags.where(F.col("level") == level)
     if level == 1:
         return node.select("id", F.array("id").alias("line"), F.array("name").alias("names"))
-    above = level_lineages(tags, level - 1)
+    return _one_down(node, level_lineages(tags, level - 1))
+
+
+def _one_down(node: DataFrame, above: DataFrame) -> DataFrame:
     step = node.alias("n").join(above.alias("p"), F.col("n.pid") == F.col("p.id"))
     return step.select(
         F.col("n.id").alias("id"),
@@ -81,18 +86,26 @@ def children(tags: DataFrame) -> DataFrame:
 def outline(tags: DataFrame) -> DataFrame:
     """The tree as rows in depth-first order: ``position`` sorts, children follow their parent.
 
-    Every node reports itself to all its ancestors, and one aggregation with map-side combine
-    counts children and leaves; no node's children are gathered into one row.
+    Lines above the leaves are written once.  Children are counted by parent before they are joined, and only
+    ids and counts go up the lines.  Names and positions are grouped once a node, dealt by id beforehand, so a
+    task sorts a part of the nodes only; no node's children are gathered into one row.
     """
+    above = cut_lineage(reduce(DataFrame.unionByName, [level_lineages(tags, n) for n in range(1, DEPTH)]), "lineages")
+    depth = F.size("line")
+    leaves = _one_down(tags.where(F.col("level") == DEPTH), above.where(depth == DEPTH - 1))
     position = F.array_join(F.transform("line", lambda i: F.lpad(i.cast("string"), 12, "0")), "/")
-    lines = lineages(tags).select("line", F.element_at("names", -1).alias("name"), position.alias("position"))
-    depth, at = F.size("line"), F.col("at") + 1
-    own = at == depth
-    reports = lines.select("line", "name", "position", F.posexplode("line").alias("at", "id"))
-    return reports.groupBy("id").agg(
-        F.max(F.when(own, F.col("name"))).alias("name"),
-        F.max(F.when(own, depth)).alias("level"),
-        F.max(F.when(own, F.col("position"))).alias("position"),
-        F.count(F.when(at == depth - 1, 1)).alias("n_children"),
-        F.count(F.when((depth == DEPTH) & (at <= DEPTH), 1)).alias("n_leaves"),
+    own = above.unionByName(leaves).select(
+        "id", F.element_at("names", -1).alias("name"), depth.alias("level"), position.alias("position"),
+        F.lit(0).cast("bigint").alias("n_children"), F.when(depth == DEPTH, 1).otherwise(0).cast("bigint").alias("n_leaves"),
+    )
+    below = tags.groupBy(F.col("pid").alias("id"), (F.col("level") - 1).alias("depth")).agg(F.count(F.lit(1)).alias("n"))
+    met = above.select("id", "line", depth.alias("depth")).join(below, ["id", "depth"])
+    up = met.select("n", "depth", F.posexplode("line").alias("at", "id"))
+    counted = up.groupBy("id").agg(
+        F.sum(F.when(F.col("at") + 1 == F.col("depth"), F.col("n")).otherwise(0)).alias("n_children"),
+        F.sum(F.when(F.col("depth") + 1 == DEPTH, F.col("n")).otherwise(0)).alias("n_leaves"),
+    )
+    return own.unionByName(counted, allowMissingColumns=True).repartition("id").groupBy("id").agg(
+        F.max("name").alias("name"), F.max("level").alias("level"), F.max("position").alias("position"),
+        F.sum("n_children").alias("n_children"), F.sum("n_leaves").alias("n_leaves"),
     )

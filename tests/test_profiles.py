@@ -125,6 +125,33 @@ def test_closure_and_paths(tags):
     assert rows(tree.paths(tags, "high"), "id", "path") == [(21, "root --- shop --- money --- spending --- high")]
 
 
+def test_outline_carries_texts_once_a_node(table):
+    """Only ids and counts go up the lines; equal and null ids are one node each, as grouping has them."""
+    made = [(1, "a", 1, -1), (2, "b", 2, 1), (2, "bb", 2, 1), (3, "c", 3, 2), (4, "d", 4, 3), (None, "n", 4, 3), (5, "e", 5, 4),
+            (5, "e", 5, 4), (6, None, 5, 4), (None, "m", 5, 4), (7, "lost", 5, None), (8, "high", 3, 1)]
+    tags = table([(i, name, None, level, pid) for i, name, level, pid in made], "id bigint, name string, rule string, level int, pid bigint")
+    lines = [[(i, name)] for i, name, level, pid in made if level == 1]
+    every = list(lines)
+    for at in range(2, tree.DEPTH + 1):
+        lines = [[*line, (i, name)] for line in lines for i, name, level, pid in made if level == at and pid is not None and pid == line[-1][0]]
+        every += lines
+    want = {}
+    for line in every:
+        position = "/".join(f"{i:012d}" for i, _ in line if i is not None)
+        for at, (i, _) in enumerate(line, 1):
+            node = want.setdefault(i, [[], [], [], 0, 0])
+            if at == len(line):
+                for held, value in zip(node, (line[-1][1], at, position)):
+                    held.append(value)
+            node[3] += at == len(line) - 1
+            node[4] += len(line) == tree.DEPTH
+    most = lambda held: max((x for x in held if x is not None), default=None)
+    out = tree.outline(tags)
+    assert rows(out) == sorted(((i, *map(most, node[:3]), *node[3:]) for i, node in want.items()), key=repr)
+    blocks = [block for block in plan_text(out).split("\n\n") if ") Generate\nInput" in block]
+    assert blocks and not any(text in block for block in blocks for text in ("name#", "names#", "position#"))
+
+
 def test_outline_is_depth_first(tags):
     out = tree.outline(tags).orderBy("position").collect()
     assert [r["id"] for r in out] == [1, 2, 3, 10, 11, 12, 4, 20, 21, 22, 30]
