@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +16,11 @@ from tagloom.llm.language import held_out
 from tagloom.llm.scratch import Scratch
 from tagloom.llm.vectors import slices, small_batches
 
-#: Labelled rows the classifier is fitted on, about; at most twice as many are taken.
-FIT_ROWS = 20_000
 #: Words and word beginnings that may carry weight, and what a candidate must show.
 LEXICON = 2_000
 LEAST_TOXIC = 3
 LEAST_PRECISION = 0.8
-#: Words that count as seen, at most, and the rows of the sample that show one.
+#: Words that count as seen, at most, and the labelled rows that show one.
 VOCABULARY = 50_000
 LEAST_SEEN = 3
 #: Cost in nats of a letter of a word that was not seen.
@@ -449,39 +449,42 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.bias + np.array(sums, dtype=np.float64), -30, 30)))
 
 
-def _regress(rows: list[list[int]], labels: np.ndarray, size: int) -> tuple[np.ndarray, float]:
-    """Logistic regression with a ridge, by steps scaled to each feature's curvature; rows list their features."""
-    flat = np.array([j for row in rows for j in row], dtype=np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
-    importance = 1.0 + (TOXIC_WEIGHT - 1.0) * labels
-    steep = np.bincount(flat, importance[owner], minlength=size) / 4 + RIDGE
-    weights, bias = np.zeros(size), float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5)))
-    for _ in range(500):
-        sums = np.bincount(owner, weights[flat], minlength=len(rows)) + bias
-        error = (1.0 / (1.0 + np.exp(-np.clip(sums, -30, 30))) - labels) * importance
-        weights -= 0.2 * (np.bincount(flat, error[owner], minlength=size) + RIDGE * weights) / steep
-        bias -= 0.2 * error.sum() / (importance.sum() / 4)
-    return weights, bias
+def _regress(rows: DataFrame, lexicon: list[str]) -> tuple[np.ndarray, float]:
+    """Logistic regression with a ridge over rows ``toxic, features, times``; the driver hears sums of the lexicon's size."""
+    toxic = F.col("toxic") >= 1
+    weighted = rows.select(
+        F.when(toxic, 1.0).otherwise(0.0).alias("label"), "features",
+        (F.col("times") * F.when(toxic, TOXIC_WEIGHT).otherwise(1.0)).alias("importance"),
+    )
+    marked = CountVectorizerModel.from_vocabulary(lexicon, "features", "at", binary=True).transform(weighted)
+    total = weighted.agg(F.sum("importance")).first()[0]  # the library's ridge is on the mean over the weights
+    model = LogisticRegression(
+        featuresCol="at", weightCol="importance", regParam=RIDGE / total, standardization=False, maxIter=200, tol=1e-8, family="binomial",
+    ).fit(marked)
+    return model.coefficients.toArray(), float(np.clip(model.intercept, -30, 30))
 
 
 def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_column: str = "doc_id", text_column: str = "text") -> Model:
-    """The character model from all of ``docs``, the weights from a hashed sample, of bounded size, of labelled rows.
+    """The character model from all of ``docs``, the words and their weights from all labelled rows.
 
-    Rows that are held out, and labels that are null, are not learned from.
+    Rows that are held out, and labels that are null, are not learned from.  Equal texts with equal labels count
+    once; rows with the same words of the lexicon and the same label are one weighted row of the regression.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(text_column).cast("string").alias("text"))
     channel = character_model(texts)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    share = min(1.0, FIT_ROWS / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).limit(2 * FIT_ROWS)
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    sample = scratch.keep(
-        rows.join(F.broadcast(known), "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text").distinct().repartition(F.xxhash64("text"))
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text")).where(~held_out(F.col("doc_id")))
+    labelled = scratch.keep(
+        rows.join(known, "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text").distinct()
         .mapInArrow(_feature_rows(channel), "toxic int, features array<string>"),
-        "sample",
+        "labelled",
+    )
+    each = scratch.keep(
+        labelled.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all"))
+        .where(F.col("all") >= min(LEAST_TOXIC, LEAST_SEEN)),
+        "features",
     )
-    each = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all"))
     telling = each.where((F.col("bad") >= LEAST_TOXIC) & (F.col("bad") >= LEAST_PRECISION * F.col("all")))
     strength = F.col("bad") * F.col("bad") / F.col("all")
     lexicon = [r.feature for r in telling.orderBy(F.desc(strength), "feature").limit(LEXICON).collect()]
@@ -491,15 +494,15 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_column: str = "
     common = {r.feature: r["all"] for r in plain.orderBy(F.desc("all"), "feature").limit(VOCABULARY).collect()}
     total = sum(common.values())
     seen = {word: float(np.log(total / times)) for word, times in common.items()}
-    place = {x: i for i, x in enumerate(lexicon)}
+    wanted = set(lexicon)
 
     def of_lexicon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[place[x] for x in row if x in place] for row in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["toxic", "at"])
+            found = [[x for x in row if x in wanted] for row in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["toxic", "features"])
 
-    got = sample.mapInArrow(of_lexicon, "toxic int, at array<int>").toArrow()
-    weights, bias = _regress(got.column("at").to_pylist(), got.column("toxic").to_numpy().astype(np.float64), len(lexicon))
+    alike = labelled.mapInArrow(of_lexicon, "toxic int, features array<string>").groupBy("toxic", "features").agg(F.count(F.lit(1)).alias("times"))
+    weights, bias = _regress(scratch.keep(alike, "alike"), lexicon)
     return Model(channel, dict(zip(lexicon, weights.tolist())), bias, seen)
 
 

@@ -161,6 +161,22 @@ def test_runs_split_into_seen_words():
     assert splitter.shortened("boot") == splitter.shortened("idiot") == splitter.shortened("stuupi") == set()
 
 
+def test_every_labelled_row_is_learned_from(spark):
+    """Telling words that show in three of 45,000 labelled rows only are all found; copies and held-out rows add nothing."""
+    letters = lambda n: "".join(chr(97 + int(x)) for x in str(n))
+    n, rare = 45_000, 15
+    known = F.crc32(F.col("id").cast("string")) % 4 != 2
+    kept = [r.id for r in spark.range(n).where(known).orderBy(F.xxhash64("id")).limit(3 * rare).collect()]
+    marks = {i: f"zz{letters(k // 3)}" for k, i in enumerate(kept)}
+    held = [r.id for r in spark.range(n).where(~known).limit(3).collect()]
+    rows = [(i, f"reto {letters(i)} {marks.get(i, 'hidden' if i in held else 'calm')}") for i in range(n)]
+    frame = small_table(spark, rows, "doc_id long, text string")
+    labels = small_table(spark, [(i, int(i in marks or i in held)) for i in range(n)], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels, Scratch(spark, "t"))
+    assert set(marks.values()) <= set(model.weights) and "hidden" not in model.weights
+    assert model.seen["reto"] < model.seen["calm"] and min(model.weights[x] for x in marks.values()) > 0 > model.bias
+
+
 def test_toxicity_without_labels(spark):
     frame = small_table(spark, [(1, "text"), (2, None)], "doc_id long, text string")
     marks = small_table(spark, [], "doc_id long, quality int, toxic int")
