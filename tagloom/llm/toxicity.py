@@ -59,6 +59,9 @@ _ODD = re.compile(r"(?:[^\W\d_][" + re.escape(_SIGNS) + r"]|[" + re.escape(_SIGN
 _WORDS = re.compile(r"[^\W\d_]+")
 _SPREAD = re.compile(r"\S[ ._*-]\S[ ._*-]\S")
 _DOUBLED = re.compile(r"([^\W\d_])\1")
+_TRIPLED = re.compile(r"([^\W\d_])\1\1")
+#: Around one word these change nothing: no letter and no sign that stands for one is among them.
+_AROUND = ".,;:?\"'`)]}[{/\\-_*#~%&=>"
 
 
 class Channel:
@@ -329,8 +332,11 @@ class Reader:
     def __init__(self, channel: Channel, wanted=None, seen: dict[str, float] | None = None):
         self.channel, self.wanted = channel, wanted
         self.splitter = None if seen is None else Splitter(seen, wanted or ())
+        self.odd = (_TRIPLED if seen is None else _DOUBLED).search
+        self.begun = {feature.removesuffix("*") for feature in wanted or () if feature.endswith("*")}
         self.seen: set[str] = set()
-        self.told: dict[str, frozenset[str]] = {}
+        #: Features by token; without ``wanted``, tokens that are plain words and not here are their own.
+        self.told: dict[str, tuple[str, ...]] = {}
 
     def features(self, texts: list[str | None]) -> list[set[str]]:
         """Per whole text: the features of its tokens and of its runs of spaced-out characters, restored."""
@@ -344,19 +350,35 @@ class Reader:
             self.seen, self.told = set(), {}
         new = set().union(*rows) - self.seen
         self.seen |= new
-        for token, words in self.channel.words_of(list(new)).items():
-            words, shorter = set(words), set()
-            if self.splitter is not None:
-                if _SPREAD.search(token):
-                    fused = words.difference(_WORDS.findall(token))
-                    words.update(*[self.splitter.parts(form) for word in fused for form in {word, _runs(word)[0]}])
-                shorter = set().union(*[self.splitter.shortened(word) for word in words])
-            found = features(words) | shorter
-            if self.wanted is not None:
-                found &= self.wanted
-            if found:
-                self.told[token] = frozenset(found)
-        return [set().union(*(self.told[t] for t in tokens & self.told.keys())) for tokens in rows]
+        rest, odd, wanted, told = [], self.odd, self.wanted, self.told
+        for token in new:
+            bare = token.isalpha()
+            word = token if bare else token.strip(_AROUND)
+            if not word.isalpha() or odd(word):
+                rest.append(token)
+            elif wanted is not None:
+                if word in wanted or word[:_BEGINNING] in self.begun:
+                    told[token] = tuple(features({word}) & wanted)
+            elif not bare:
+                told[token] = tuple(features({word}))
+        for token, words in self.channel.words_of(rest).items():
+            found = self._found(token, set(words))
+            if found or wanted is None:
+                told[token] = tuple(found)
+        if wanted is not None:
+            return [set().union(*[told[t] for t in tokens & told.keys()]) for tokens in rows]
+        return [features(tokens.difference(told)).union(*[told[t] for t in tokens & told.keys()]) for tokens in rows]
+
+    def _found(self, token: str, words: set[str]) -> set[str]:
+        """The features of a token that is no plain word; ``words`` are its own and those of its restoration."""
+        shorter = set()
+        if self.splitter is not None:
+            if _SPREAD.search(token):
+                fused = words.difference(_WORDS.findall(token))
+                words.update(*[self.splitter.parts(form) for word in fused for form in {word, _runs(word)[0]}])
+            shorter = set().union(*[self.splitter.shortened(word) for word in words])
+        found = features(words) | shorter
+        return found if self.wanted is None else found & self.wanted
 
 
 def features(words: set[str]) -> set[str]:
@@ -464,6 +486,20 @@ def _regress(rows: DataFrame, lexicon: list[str]) -> tuple[np.ndarray, float]:
     return model.coefficients.toArray(), float(np.clip(model.intercept, -30, 30))
 
 
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``toxic, text`` of rows (``doc_id, text``) that are labelled and not held out; equal texts with equal labels once.
+
+    Which rows these are is found by digests.  Texts are shuffled once, whatever the size of the labels, so what
+    is shuffled grows as the texts do.
+    """
+    usable = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = usable.withColumn("digest", F.coalesce(F.unhex(F.sha2("text", 256)), F.lit(b"")))
+    marks = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = rows.select("doc_id", "digest").join(marks, "doc_id").groupBy("toxic", "digest").agg(F.min("doc_id").alias("doc_id"))
+    found = rows.join(chosen.hint("merge"), ["doc_id", "digest"])
+    return found.groupBy("doc_id", "digest").agg(F.first("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text")
+
+
 def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_column: str = "doc_id", text_column: str = "text") -> Model:
     """The character model from all of ``docs``, the words and their weights from all labelled rows.
 
@@ -473,13 +509,8 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_column: str = "
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(text_column).cast("string").alias("text"))
     channel = character_model(texts)
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text")).where(~held_out(F.col("doc_id")))
-    labelled = scratch.keep(
-        rows.join(known, "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text").distinct()
-        .mapInArrow(_feature_rows(channel), "toxic int, features array<string>"),
-        "labelled",
-    )
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    labelled = scratch.keep(_labelled(rows, labels).mapInArrow(_feature_rows(channel), "toxic int, features array<string>"), "labelled")
     each = scratch.keep(
         labelled.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all"))
         .where(F.col("all") >= min(LEAST_TOXIC, LEAST_SEEN)),
@@ -494,14 +525,8 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_column: str = "
     common = {r.feature: r["all"] for r in plain.orderBy(F.desc("all"), "feature").limit(VOCABULARY).collect()}
     total = sum(common.values())
     seen = {word: float(np.log(total / times)) for word, times in common.items()}
-    wanted = set(lexicon)
-
-    def of_lexicon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [[x for x in row if x in wanted] for row in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["toxic", "features"])
-
-    alike = labelled.mapInArrow(of_lexicon, "toxic int, features array<string>").groupBy("toxic", "features").agg(F.count(F.lit(1)).alias("times"))
+    known = F.array_sort(F.filter("features", lambda x: x.isin(lexicon))).alias("features")
+    alike = labelled.select("toxic", known).groupBy("toxic", "features").agg(F.count(F.lit(1)).alias("times"))
     weights, bias = _regress(scratch.keep(alike, "alike"), lexicon)
     return Model(channel, dict(zip(lexicon, weights.tolist())), bias, seen)
 

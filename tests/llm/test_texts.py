@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import random
+import re
 import subprocess
 import sys
 
@@ -177,6 +178,58 @@ def test_every_labelled_row_is_learned_from(spark):
     assert model.seen["reto"] < model.seen["calm"] and min(model.weights[x] for x in marks.values()) > 0 > model.bias
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_labelled_texts_are_shuffled_once(spark, monkeypatch, threshold):
+    """Few labels or many: the same texts, equal ones once a label, through one exchange that carries texts."""
+    monkeypatch.setattr(toxicity, "_feature_rows", lambda channel: lambda batches: (
+        pa.RecordBatch.from_arrays([b.column(0), pa.array([[x] for x in b.column(1).to_pylist()], pa.list_(pa.string()))], ["toxic", "features"]) for b in batches
+    ))
+    kept = [r.id for r in spark.range(100).where(F.crc32(F.col("id").cast("string")) % 4 != 2).limit(8).collect()]
+    held = spark.range(100).where(F.crc32(F.col("id").cast("string")) % 4 == 2).first().id
+    texts = ["a", "a", "b", "c", None, None, "", "d"]
+    rows = [*zip(kept, texts), (kept[0], "a"), (kept[0], "e"), (held, "f"), (None, "g"), (1_000, "h")]
+    marks = [(kept[0], 1), (kept[0], 0), (kept[1], 1), (kept[2], 0), (kept[3], None), (kept[4], 0), (kept[5], 0), (kept[6], 1), (held, 1), (None, 1), (kept[7], 0)]
+    frame, labels = small_table(spark, rows, "doc_id long, text string"), small_table(spark, marks, "doc_id long, toxic int")
+    plans, found = {}, {}
+
+    class Watched(Scratch):
+        def keep(self, df, name):
+            plans[name] = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+            found[name] = super().keep(df, name)
+            return found[name]
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        toxicity.fit(frame, labels, Watched(spark, "t"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(((r.toxic, r.features[0]) for r in found["labelled"].collect()), key=repr) == sorted(
+        [(1, "a"), (1, "e"), (0, "b"), (0, None), (1, ""), (0, "d")], key=repr)
+    exchanges = re.findall(r"\(\d+\) (?:Broadcast)?Exchange\nInput[^\n]*", plans["labelled"])
+    assert sum("text#" in x for x in exchanges) == 1 and any("digest" in x for x in exchanges)
+
+
+def test_plain_words_need_no_lattice(monkeypatch):
+    """A word by itself or between marks is its own word; doubled letters, signs and separators are still looked into."""
+    channel, asked = toxicity.Channel("abdiotlu", np.ones((toxicity._BASE, toxicity._BASE))), []
+    monkeypatch.setattr(toxicity.Channel, "words_of", lambda self, tokens, one=toxicity.Channel.words_of: asked.extend(tokens) or one(self, tokens))
+    text = "Idiot, (lull) 'stupidity'... boot add-on --doll id1ot b.a.d abbba 12 !bad ..."
+    reader = toxicity.Reader(channel)
+    first, again = reader.features([text, "idiot doll"]), reader.features(["idiot stupidity doll", "add-on"])
+    assert sorted(asked) == sorted(["(lull)", "add-on", "id1ot", "b.a.d", "abbba", "12", "!bad", "..."])
+    assert {"idiot", "lull", "stupidity", "stupi*", "boot", "add", "on", "doll", "bad"} <= first[0]
+    assert first[1] == {"idiot", "doll"} and again == [{"idiot", "stupidity", "stupi*", "doll"}, {"add", "on"} | channel_words(channel, "add-on")]
+    asked.clear()
+    wanted = toxicity.Reader(channel, {"idiot", "stupi*", "doll", "lul"}, {"boot": 1.0, "doll": 1.0})
+    assert wanted.features([text, "nothing"]) == [{"idiot", "stupi*", "doll", "lul"}, set()]
+    assert set(asked) >= {"(lull)", "boot", "--doll"} and not set(asked) & {"idiot,", "'stupidity'...", "nothing"}
+
+
+def channel_words(channel, token):
+    return toxicity.features(set(channel.words_of([token])[token]))
+
+
 def test_toxicity_without_labels(spark):
     frame = small_table(spark, [(1, "text"), (2, None)], "doc_id long, text string")
     marks = small_table(spark, [], "doc_id long, quality int, toxic int")
