@@ -1,11 +1,13 @@
 """The pipeline's stages against brute force, and on odd rows."""
 
 import hashlib
+import re
 import zlib
 
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
+from conftest import plan_text
 from test_pairs import closure, shingled
 
 import corpus_pipeline as pipeline
@@ -111,3 +113,21 @@ def test_held_out_rows_follow_crc32(spark):
 
     got = spark.range(-50, 400).select("id", held_out(F.col("id")).alias("held")).collect()
     assert all(r.held == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in got)
+
+
+def test_toxicity_stage_shuffles_alike_for_few_and_many_labels(spark, table, folder, monkeypatch):
+    """The stage learns from texts that pass one exchange, whether or not labels are few enough to broadcast."""
+    docs = table([(i, f"reto theon {'idiot' if i % 3 == 0 else 'calm'} {i}") for i in range(60)], "doc_id long, text string")
+    table([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    plans, keep = [], Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name: plans.append(plan_text(df)) or keep(self, df, name))
+    before, found = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    for threshold in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            del plans[:]
+            kept = sorted(r.doc_id for r in pipeline.remove_toxic(spark, docs, folder).collect())
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        found.append((kept, sum("text#" in x for x in re.findall(r"\(\d+\) (?:Broadcast)?Exchange\nInput[^\n]*", plans[0]))))
+    assert found == [([i for i in range(60) if i % 3], 1)] * 2
